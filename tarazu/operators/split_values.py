@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -144,8 +144,8 @@ def delimiter_scores(df: DataFrame, field: str, source: Column) -> DataFrame:
     )
     sums = [F.sum("w").alias("fields"), F.sum(F.col("w") * F.col("good") / F.col("n")).alias("good"), F.sum(F.when(F.col("good") == F.col("n"), F.col("w")).otherwise(0.0)).alias("whole")]
     per = each.groupBy("source", "delimiter").agg(*sums)
-    overall = per.groupBy("delimiter").agg(*[F.sum(c).alias(f"all_{c}") for c in ("fields", "good", "whole")])
-    both = per.join(F.broadcast(overall), "delimiter")  # one row per candidate
+    everywhere = Window.partitionBy("delimiter")  # a few rows: one per source
+    both = per.select("*", *[F.sum(c).over(everywhere).alias(f"all_{c}") for c in ("fields", "good", "whole")])
 
     def shrunk(c: str) -> Column:
         return (F.col(c) + PRIOR * F.col(f"all_{c}") / F.col("all_fields")) / (F.col("fields") + PRIOR)

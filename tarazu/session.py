@@ -39,3 +39,15 @@ def cut(df: DataFrame) -> DataFrame:
     """The frame with its lineage cut, written to the shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt out to all cores where its files are fewer than they are; large inputs stay where they lie.
+
+    For work in Python on whole rows: a small table in one file would else be one task. The deal is by
+    the rows' contents, so that a task run again gets the same rows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= 2 * cores:
+        return df
+    return df.repartition(2 * cores, *df.columns)
