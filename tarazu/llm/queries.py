@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarazu.llm.bpe import encode
+from tarazu.llm.language import cases, identify
+from tarazu.llm.leakage import find_leaks
 from tarazu.llm.plain_text import court_names, unify
 from tarazu.session import table
 
@@ -24,5 +26,22 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p3_found": p3_found, "p3_plain": p3_plain, "p6_ids": p6_ids}
+def p7_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    return leaks.withColumn("coverage", F.round("coverage", 6))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p7_coverage(spark, sf_dir).select("doc_id", "item_id")
+
+
+def p8_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents")).drop("label").withColumn("confidence", F.round("confidence", 6))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cases(identify(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {"p3_found": p3_found, "p3_plain": p3_plain, "p6_ids": p6_ids, "p7_found": p7_found, "p7_coverage": p7_coverage, "p8_found": p8_found, "p8_labels": p8_labels}
 ORACLE: dict[str, str] = {}
