@@ -9,7 +9,7 @@ from tarazu.llm.bpe import encode
 from tarazu.llm.language import cases, identify
 from tarazu.llm.leakage import find_leaks
 from tarazu.llm.plain_text import court_names, unify
-from tarazu.session import table
+from tarazu.session import spread, table
 
 
 def p3_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +23,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return encode(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
 def p7_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
