@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tarazu.llm.bpe import encode
 from tarazu.llm.language import cases, identify
 from tarazu.llm.leakage import find_leaks
+from tarazu.llm.name_link import link, mentions, variant_pairs
 from tarazu.llm.plain_text import court_names, unify
 from tarazu.session import spread, table
 
@@ -22,6 +23,14 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unify(names, "raw_text").where(~F.col("is_plain")).select("table_name", "record_key")
 
 
+def p4_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link(mentions(*(table(spark, sf_dir, t) for t in ("court_case_entities", "court_case_hearings", "court_cases"))))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variant_pairs(p4_parties(spark, sf_dir))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text")
 
@@ -43,5 +52,5 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cases(identify(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {"p3_found": p3_found, "p3_plain": p3_plain, "p6_ids": p6_ids, "p7_found": p7_found, "p7_coverage": p7_coverage, "p8_found": p8_found, "p8_labels": p8_labels}
+QUERIES = {"p3_found": p3_found, "p3_plain": p3_plain, "p4_found": p4_found, "p4_parties": p4_parties, "p6_ids": p6_ids, "p7_found": p7_found, "p7_coverage": p7_coverage, "p8_found": p8_found, "p8_labels": p8_labels}
 ORACLE: dict[str, str] = {}
