@@ -185,7 +185,7 @@ def latest_cases(cases: DataFrame, *columns: str) -> DataFrame:
     """
     key = F.concat(F.coalesce("case_number", F.lit("")), F.lit("@"), F.coalesce("court_identifier", F.lit("")))
     picked = F.struct(*columns, F.col("court_identifier").alias("_court"))
-    rank = F.struct(F.coalesce("updated_at", "created_at"), *[F.coalesce(F.col(c), F.lit("")) for c in columns])
+    rank = F.struct(F.coalesce("updated_at", "created_at"), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
     one = cases.select(key.alias("record_key"), picked.alias("v"), rank.alias("r")).groupBy("record_key").agg(F.max_by("v", "r").alias("v"))
     return one.select("record_key", F.col("v._court").alias("court_identifier"), *[f"v.{c}" for c in columns])
 
