@@ -10,6 +10,7 @@ from tarazu.llm.language import cases, identify
 from tarazu.llm.leakage import find_leaks
 from tarazu.llm.name_link import link, mentions, variant_pairs
 from tarazu.llm.plain_text import court_names, unify
+from tarazu.llm.prosecutions import match, matches
 from tarazu.session import spread, table
 
 
@@ -31,6 +32,15 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variant_pairs(p4_parties(spark, sf_dir))
 
 
+def p5_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = match(*(table(spark, sf_dir, t) for t in ("court_cases", "court_case_entities", "press_releases", "charge_sheets")))
+    return scored.select("case_number", "court_identifier", "source_table", "source_id", F.round("confidence", 6).alias("confidence"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matches(p5_scores(spark, sf_dir)).drop("confidence")
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text")
 
@@ -52,5 +62,5 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cases(identify(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {"p3_found": p3_found, "p3_plain": p3_plain, "p4_found": p4_found, "p4_parties": p4_parties, "p6_ids": p6_ids, "p7_found": p7_found, "p7_coverage": p7_coverage, "p8_found": p8_found, "p8_labels": p8_labels}
+QUERIES = {"p3_found": p3_found, "p3_plain": p3_plain, "p4_found": p4_found, "p4_parties": p4_parties, "p5_found": p5_found, "p5_scores": p5_scores, "p6_ids": p6_ids, "p7_found": p7_found, "p7_coverage": p7_coverage, "p8_found": p8_found, "p8_labels": p8_labels}
 ORACLE: dict[str, str] = {}
