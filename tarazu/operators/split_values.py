@@ -190,14 +190,13 @@ def latest_cases(cases: DataFrame, *columns: str) -> DataFrame:
     return one.select("record_key", F.col("v._court").alias("court_identifier"), *[f"v.{c}" for c in columns])
 
 
-def packed_fields(hearings: DataFrame, cases: DataFrame) -> DataFrame:
-    """table_name, record_key, field_name, pos_no, val_text, n_values of the three packed fields; single values included."""
-    judges = hearings.select(F.col("id").cast("string").alias("record_key"), "court_identifier", "judge_names")
-    parts = [("court_case_hearings", judges, "judge_names")]
+def packed_fields(hearings: DataFrame | None, cases: DataFrame) -> DataFrame:
+    """table_name, record_key, field_name, pos_no, val_text, n_values of the packed fields; single values included. Without hearings, of the cases' two."""
     one = latest_cases(cases, "plaintiff", "defendant")
-    parts += [("court_cases", one, "plaintiff"), ("court_cases", one, "defendant")]
-    out = None
-    for name, df, field in parts:
-        values = split_values(df, field, court_class(), ["record_key"]).select(F.lit(name).alias("table_name"), "record_key", F.lit(field).alias("field_name"), "pos_no", "val_text", "n_values")
-        out = values if out is None else out.unionByName(values)
-    return out
+    sides = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("_field")) for f in ("plaintiff", "defendant")]))
+    long = one.select("record_key", "court_identifier", sides.alias("s")).select(F.lit("court_cases").alias("table_name"), "record_key", "court_identifier", "s.*")
+    if hearings is not None:
+        judges = hearings.select(F.lit("court_case_hearings").alias("table_name"), F.col("id").cast("string").alias("record_key"), "court_identifier", F.lit("judge_names").alias("field_name"), F.col("judge_names").alias("_field"))
+        long = judges.unionByName(long)
+    source = F.concat_ws("/", "field_name", court_class())
+    return split_values(long, "_field", source, ["table_name", "record_key", "field_name"])
