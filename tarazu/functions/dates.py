@@ -65,7 +65,7 @@ def guess_date(c: Column | str) -> Column:
 
 def snapshot_date(c: Column | str) -> Column:
     """The date a folder is named by; null for other names."""
-    return F.when(col(c).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(col(c), F.lit("yyyy-MM-dd")))
+    return F.when(col(c).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(col(c), "yyyy-MM-dd"))
 
 
 def observed_calendar(df: DataFrame, bs: str, ad: str) -> DataFrame:

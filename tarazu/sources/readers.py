@@ -35,7 +35,7 @@ def charge_sheets(spark: SparkSession, path: str) -> DataFrame:
 
 def appeal_map(spark: SparkSession, path: str, skip: int = 2) -> DataFrame:
     """case_number, appeal_number, verdict_date, decision_date, filing_date: skip lines of preface, then a header; one row for each of the numbers in the first cell, the last wins."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", r"\r?\n")).alias("n", "line"))
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("n", "line"))
     names = ["cases", "appeal_number", "verdict_date", "decision_date", "filing_date"]
     schema = ", ".join(f"{c} string" for c in names)
     cells = lines.where((F.col("n") > skip) & (F.trim("line") != "")).select("n", F.from_csv("line", schema).alias("c")).select("n", "c.*")
@@ -52,7 +52,7 @@ def listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 def sidecars(spark: SparkSession, path: str, schema: str, list_field: str) -> DataFrame:
     """JSON objects of a folder, one a file; malformed ones, and names that are missing or blank, fail loudly."""
-    texts = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path)
+    texts = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path, wholetext=True)
     parsed = texts.select(F.input_file_name().alias("file"), F.from_json("value", schema, {"mode": "FAILFAST"}).alias("j"))
     names = F.col(f"j.{list_field}")
     bad = names.isNull() | F.exists(names, lambda x: x.isNull() | (F.trim(x) == ""))
@@ -61,7 +61,7 @@ def sidecars(spark: SparkSession, path: str, schema: str, list_field: str) -> Da
 
 def paged_json(spark: SparkSession, path: str, start: str) -> DataFrame:
     """page, hops of the pages reached from start by their next links, in a folder of pages read at once; a cycle ends where it closes."""
-    pages = spark.read.option("wholetext", True).text(path).select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("page"), F.get_json_object("value", "$.next").alias("next"))
+    pages = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("page"), F.get_json_object("value", "$.next").alias("next"))
     known = {r.page: r.next for r in pages.collect()}  # one row a page of an index, not of the data
     seen, at = [], start
     while at is not None and at in known and at not in seen:
