@@ -36,10 +36,7 @@ BATCH_CHARS = 1_000_000
 _END = re.compile(r"(?<=[।॥!?])[\"'”’)\]]*\s*|[\n\r\x0b\x0c\x85  ]+|(?<=[^\s.]\.)\s+(?=[\"'“‘(]*[A-ZÀ-Þऀ-ॿ№])")
 _ABBREVIATED = re.compile(r"(?:^|[\s(])(?:Rs|Nos?|nos?|Mrs?|Ms|Dr|St|vs|Ltd|Pvt|P|Co|Art|Sec|[A-Z]|रु|नं|न|डा|मा|न्या|वि|सं|प्रा|लि|श्री|पं|ई|क्र|[ऀ-ॿ]{1,2})\.$")
 _FOREIGN = re.compile(r"\([^()]{0,60}\)|\[[^\[\]]{0,40}\]|<[^<>]{0,40}>")
-_LETTER = re.compile(r"[^\W\d_]")
-_DEVANAGARI = re.compile(r"[ऄ-हक़-ॡॲ-ॿ]")
-_WORD = re.compile(r"[^\W\d_][\wऀ-ॿ]*")
-_NOISE = re.compile(r"[\W\d_०-९]+(?<![ऀ-ॣॱ-ॿ])")
+_WORDS = re.compile(r"(?:[^\W\d_]|[ऀ-ःऺ-ॏ॑-ॣॱ-ॿ‍])+")
 
 
 def sentences(text: str) -> list[str]:
@@ -59,7 +56,9 @@ def sentences(text: str) -> list[str]:
 
 def _clean(piece: str) -> str:
     """What the machines see: words in lower case with single spaces around; no digits, marks or bracketed words."""
-    return " " + " ".join(re.findall(r"(?:[^\W\d_]|[ऀ-ःऺ-ॏ॑-ॣॱ-ॿ‍])+", _FOREIGN.sub(" ", piece).lower())) + " "
+    if "(" in piece or "[" in piece or "<" in piece:
+        piece = _FOREIGN.sub(" ", piece)
+    return " " + " ".join(_WORDS.findall(piece.lower())) + " "
 
 
 def _features(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -108,11 +107,20 @@ def _fit_pair(feats: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     return (total / kept).astype(np.float32)
 
 
-def family(piece: str) -> str | None:
-    n = len(_LETTER.findall(piece))
-    if not n:
-        return None
-    return "devanagari" if 2 * len(_DEVANAGARI.findall(piece)) > n else "latin"
+def letters(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Devanagari and other letters of each cleaned piece; combining signs don't count."""
+    joined = "\0".join(pieces) + "\0"
+    codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+    owner = np.cumsum(codes == 0) - (codes == 0)
+    signs = (codes >= 0x900) & (codes < 0x904) | (codes >= 0x93A) & (codes < 0x950) & (codes != 0x93D) | (codes >= 0x951) & (codes < 0x958) | (codes == 0x962) | (codes == 0x963)
+    own = (codes >= 0x900) & (codes < 0x980) & ~signs
+    other = (codes > 32) & ~own & ~signs & (codes != 0x200D)
+    return tuple(np.bincount(owner, weights=w, minlength=len(pieces)).astype(np.int64)[: len(pieces)] for w in (own, other))
+
+
+def families(pieces: list[str]) -> list[str | None]:
+    own, other = letters(pieces)
+    return [None if not a + b else "devanagari" if a > b else "latin" for a, b in zip(own.tolist(), other.tolist())]
 
 
 class Model:
@@ -139,7 +147,8 @@ def fit(rows: list[tuple[str, str]]) -> Model:
         data = []
         for label, text in rows:
             if label in langs:
-                data += [(langs.index(label), _clean(s)) for s in sentences(fold(text, lines=True)) if family(s) == fam and len(_WORD.findall(s)) >= LEAST_WORDS]
+                cleaned = [_clean(s) for s in sentences(fold(text, lines=True))]
+                data += [(langs.index(label), c) for c, f in zip(cleaned, families(cleaned)) if f == fam and len(c.split()) >= LEAST_WORDS]
         labels = np.array([d[0] for d in data], np.int64)
         pieces = [d[1] for d in data]
         pairs = list(combinations(range(len(langs)), 2))
@@ -186,11 +195,10 @@ def label_texts(model: Model, texts: list[str | None]) -> list[list[tuple[int, s
     """(seg_no, lang, confidence, letters) of each text: 0 for the document, 1.. for its segments; [] without letters."""
     cut = [sentences(fold(t, lines=True)) if t else [] for t in texts]
     flat = [s for ss in cut for s in ss]
-    emit, weight, letters = np.zeros((len(flat), len(LANGUAGES))), np.zeros(len(flat)), np.zeros(len(flat), np.int64)
-    fams = [family(s) for s in flat]
-    letters[:] = [len(_LETTER.findall(s)) for s in flat]
+    emit, weight = np.zeros((len(flat), len(LANGUAGES))), np.zeros(len(flat))
     cleaned = [_clean(s) for s in flat]
-    sizes = [len(c.split()) for c in cleaned]
+    fams, size_of = families(cleaned), sum(letters(cleaned))
+    sizes = [max(c.count(" ") - 1, 0) if c.strip() else 0 for c in cleaned]
     for fam, langs in FAMILIES.items():
         at = [k for k, f in enumerate(fams) if f == fam and sizes[k]]
         if at:
@@ -203,7 +211,7 @@ def label_texts(model: Model, texts: list[str | None]) -> list[list[tuple[int, s
     out, lo = [], 0
     for ss in cut:
         hi = lo + len(ss)
-        e, n, size, wt = emit[lo:hi], letters[lo:hi], np.array(sizes[lo:hi]), weight[lo:hi]
+        e, n, size, wt = emit[lo:hi], size_of[lo:hi], np.array(sizes[lo:hi]), weight[lo:hi]
         lo = hi
         if not n.any():
             out.append([])
@@ -232,7 +240,7 @@ def label_texts(model: Model, texts: list[str | None]) -> list[list[tuple[int, s
 def training_rows(documents: DataFrame, per_stratum: int = SAMPLE) -> list[tuple[str, str]]:
     """(label, text) of at most per_stratum documents for each label and family, picked by the hash of their ids."""
     label = F.lower(F.trim("lang"))
-    latin = F.length(F.regexp_replace("text", r"[^A-Za-z]", "")) * 2 > F.length(F.regexp_replace("text", r"[^A-Za-zऄ-ह]", ""))
+    latin = F.octet_length("text") < 1.6 * F.length("text")  # Devanagari letters take three bytes
     some = documents.select("doc_id", label.alias("label"), "text", latin.alias("latin")).where(label.isin(*LANGUAGES) & F.length("text").between(40, SAMPLE_CHARS))
     # the id and its hash alone are ranked, so no text is moved for it; ties in the hash go by the id
     ranked = some.select("doc_id", "label", "latin").withColumn("rank", F.row_number().over(Window.partitionBy("label", "latin", F.pmod(F.xxhash64("doc_id"), F.lit(64))).orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")))
@@ -243,11 +251,11 @@ def training_rows(documents: DataFrame, per_stratum: int = SAMPLE) -> list[tuple
     return [(r.label, r.text) for r in rows]
 
 
-SCHEMA = "doc_id long, seg_no int, lang string, confidence double, n_letters long, label string"
+SCHEMA = "doc_id long, seg_no int, lang string, confidence double, n_letters long, n_segments int, label string"
 
 
 def identify(documents: DataFrame, model: Model | None = None) -> DataFrame:
-    """doc_id, seg_no, lang, confidence, n_letters, label: row 0 for each document, and one for each of its segments.
+    """doc_id, seg_no, lang, confidence, n_letters, n_segments, label: row 0 for each document, and one for each of its segments.
 
     Null, empty and letterless texts yield no row; repeated documents theirs. label is the document's
     own, as stored. Every text is read whole.
@@ -264,8 +272,8 @@ def identify(documents: DataFrame, model: Model | None = None) -> DataFrame:
                 if size > BATCH_CHARS or hi == len(texts):
                     part = batch.iloc[lo:hi]
                     found = label_texts(shared.value, texts[lo:hi])
-                    rows = [(d, *r, x if isinstance(x, str) else None) for d, x, rs in zip(part["doc_id"], part["lang"], found) for r in rs]
-                    yield pd.DataFrame(rows, columns=["doc_id", "seg_no", "lang", "confidence", "n_letters", "label"]).astype({"doc_id": "int64", "seg_no": "int32", "n_letters": "int64", "confidence": "float64"})
+                    rows = [(d, *r, len(rs) - 1, x if isinstance(x, str) else None) for d, x, rs in zip(part["doc_id"], part["lang"], found) for r in rs]
+                    yield pd.DataFrame(rows, columns=["doc_id", "seg_no", "lang", "confidence", "n_letters", "n_segments", "label"]).astype({"doc_id": "int64", "seg_no": "int32", "n_letters": "int64", "n_segments": "int32", "confidence": "float64"})
                     lo, size = hi, 0
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where(F.length("text") > 0)
@@ -274,7 +282,5 @@ def identify(documents: DataFrame, model: Model | None = None) -> DataFrame:
 
 def cases(labelled: DataFrame) -> DataFrame:
     """doc_id, seg_no, lang: documents with a missing or other label, and the segments of documents with several languages."""
-    segments = labelled.where(F.col("seg_no") > 0)
-    wrong = labelled.where((F.col("seg_no") == 0) & ~F.lower(F.trim("label")).eqNullSafe(F.col("lang")))
-    mixed = segments.withColumn("_n", F.max("seg_no").over(Window.partitionBy("doc_id"))).where(F.col("_n") > 1)
-    return wrong.select("doc_id", "seg_no", "lang").unionByName(mixed.select("doc_id", "seg_no", "lang"))
+    wrong = (F.col("seg_no") == 0) & ~F.lower(F.trim("label")).eqNullSafe(F.col("lang"))
+    return labelled.where(wrong | (F.col("seg_no") > 0) & (F.col("n_segments") > 1)).select("doc_id", "seg_no", "lang")

@@ -28,6 +28,7 @@ HYPHENS, POINTS, BLANKS = "‐‑⁃﹣", "․﹒", "͏ᅟᅠ឴឵ㅤﾠ"
 _SEQ = re.compile("|".join(sorted(SEQUENCES, key=len, reverse=True)))
 _WIDE = {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)}
 _ONE = _WIDE | {ord(c): "-" for c in HYPHENS} | {ord(c): "." for c in POINTS}
+_ANY = re.compile("[" + "".join(map(chr, _ONE)).replace("\\", "\\\\").replace("-", "\\-").replace("]", "\\]") + "]")
 _JOINER = re.compile("(?<!्)[‌‍]|[‌‍](?![ऀ-ॿ])")
 _GONE = re.compile("[­؜᠎​‎‏‪-‮⁠-⁯﻿︀-️" + BLANKS + "]")
 _SPACE = re.compile(r"[^\S \n\r]|\x85| | ")
@@ -43,7 +44,9 @@ def fold(text: str | None, lines: bool = False) -> str | None:
     """The text by character rules alone; look-alike letters stay. lines: line ends stay as they are."""
     if text is None:
         return None
-    text = _GONE.sub("", text.translate(_ONE))
+    if _ANY.search(text):
+        text = text.translate(_ONE)
+    text = _GONE.sub("", text)
     text = _SPACE.sub(" ", text)
     if not lines:
         text = text.replace("\n", " ").replace("\r", " ")

@@ -55,7 +55,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return identify(table(spark, sf_dir, "documents")).drop("label").withColumn("confidence", F.round("confidence", 6))
+    return identify(table(spark, sf_dir, "documents")).drop("label", "n_segments").withColumn("confidence", F.round("confidence", 6))
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
