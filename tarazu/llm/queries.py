@@ -25,7 +25,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link(mentions(*(table(spark, sf_dir, t) for t in ("court_case_entities", "court_case_hearings", "court_cases"))))
+    return link(mentions(*(table(spark, sf_dir, t) for t in ("court_case_entities", "court_cases"))))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
