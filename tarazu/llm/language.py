@@ -27,6 +27,7 @@ SAMPLE = 500  # documents per label and family the machines are fitted on, at mo
 SAMPLE_CHARS = 20_000  # longest text taken into the sample
 BITS = 17  # log2 of the hashed features
 ORDERS = (1, 2, 3, 4, 5)  # lengths of the n-grams
+LEAST_STEPS = 2_000  # of a pass
 EPOCHS, ROUNDS = 4, 3  # passes of a fit; fits, each without the sentences the last one placed elsewhere
 REGULAR = 1e-4
 SWITCH = 1.6  # cost of a change of language
@@ -93,8 +94,13 @@ def _fit_pair(feats: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     """Averaged Pegasos: hinge loss on the mean of the n-grams' weights."""
     w, total, scale, rng = np.zeros(1 << BITS), np.zeros(1 << BITS), 1.0, np.random.default_rng(7)
     steps, kept = 0, 0
-    for epoch in range(EPOCHS):
-        for k in rng.permutation(len(y)):
+    first, second = np.flatnonzero(y > 0), np.flatnonzero(y < 0)
+    if not len(first) or not len(second):
+        return total.astype(np.float32)
+    n = max(2 * max(len(first), len(second)), LEAST_STEPS)  # both languages in equal shares, however rare one is
+    for _ in range(EPOCHS):
+        order = np.concatenate([rng.permutation(np.resize(rng.permutation(part), n // 2)) for part in (first, second)])
+        for k in order.reshape(2, -1).T.ravel():
             steps += 1
             rate = 1.0 / (REGULAR * (steps + 1000))
             f = feats[k]
