@@ -50,8 +50,8 @@ def fold(text: str | None, lines: bool = False) -> str | None:
     text = _SPACE.sub(" ", text)
     if not lines:
         text = text.replace("\n", " ").replace("\r", " ")
-    text = _SEQ.sub(lambda m: SEQUENCES[m.group()], unicodedata.normalize("NFC", text))
-    return _JOINER.sub("", text)
+    text = unicodedata.normalize("NFC", _JOINER.sub("", text))
+    return _SEQ.sub(lambda m: SEQUENCES[m.group()], text)
 
 
 def script(ch: str) -> str | None:

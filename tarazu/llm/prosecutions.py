@@ -31,6 +31,7 @@ WINDOW = 7  # days between a case's registration and a record's date within whic
 RIDGE, SHRINK = 0.02, 0.5  # added to every variance; share by which covariances are drawn to the diagonal
 EM_STEPS, ROUNDS = 25, 4  # steps between two exclusions; exclusions
 MATCH = 0.5  # least posterior of a match
+KNOWN = 3  # similarities a match must know, whatever they say
 
 # The offences a case or record may name, in the words of the sources.
 OFFENCES = {
@@ -257,17 +258,19 @@ def start(x: np.ndarray) -> np.ndarray:
     """First posteriors: high for the vectors whose known features agree by 0.8 in the mean, with two known at least."""
     known = x != UNKNOWN
     mean = np.where(known, x, 0.0).sum(1) / np.maximum(known.sum(1), 1)
-    return np.where((mean >= 0.8) & (known.sum(1) >= 3), 0.95, 0.02)
+    return np.where((mean >= 0.8) & (known.sum(1) >= KNOWN), 0.95, 0.02)
 
 
 def expectation_maximisation(x: np.ndarray, n: np.ndarray, posterior: np.ndarray, steps: int = EM_STEPS) -> np.ndarray:
-    """Posterior of a match for each vector x seen n times, from first posteriors."""
+    """Posterior of a match for each vector x seen n times, from first posteriors; 0 with fewer than KNOWN similarities."""
+    told = (x != UNKNOWN).sum(1) >= KNOWN
+    posterior = np.where(told, posterior, 0.0)
     for _ in range(steps):
         w1, w0 = n * posterior, n * (1 - posterior)
         prior = min(max(w1.sum() / n.sum(), 1e-4), 1 - 1e-4)
         l1 = _density(x, *_estimate(x, w1)) + np.log(prior)
         l0 = _density(x, *_estimate(x, w0)) + np.log(1 - prior)
-        new = 1 / (1 + np.exp(np.clip(l0 - l1, -50, 50)))
+        new = np.where(told, 1 / (1 + np.exp(np.clip(l0 - l1, -50, 50))), 0.0)
         if np.abs(new - posterior).max() < 1e-6:
             break
         posterior = new
