@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarazu.session import spread
+
 # The delimiters met in such fields, by name.
 CANDIDATES = {
     "newline": r"\r\n|\n|\r|\\r\\n|\\n|&#1[03];|<[bB][rR]\s*/?>",
@@ -164,10 +166,12 @@ def split_values(df: DataFrame, field: str, source: Column, keep: list[str]) ->
     Null, blank and separator-only fields yield no row. source names a bounded set (a court class),
     so the accepted delimiters are one short row each and are broadcast.
     """
+    df = spread(df.select(*keep, F.col(field), source.alias("source")))
+    source = F.col("source")
     scores = delimiter_scores(df, field, source)
     least = F.when(F.col("delimiter") == "conjunction", ACCEPT_CHECKED).otherwise(ACCEPT)
     accepted = scores.where(F.col("score") >= least).groupBy("source").agg(F.concat_ws(",", F.sort_array(F.collect_set("delimiter"))).alias("_accepted"))
-    rows = df.where(F.col(field).isNotNull()).select(*keep, F.col(field).alias("_text"), source.alias("source"))
+    rows = df.where(F.col(field).isNotNull()).select(*keep, F.col(field).alias("_text"), "source")
     cut = rows.join(F.broadcast(accepted), "source", "left").select(*keep, _split_udf("_text", F.coalesce("_accepted", F.lit(""))).alias("_values"))
     return cut.select(*keep, F.size("_values").alias("n_values"), F.posexplode("_values").alias("_p", "val_text")).select(*keep, (F.col("_p") + 1).cast("int").alias("pos_no"), "n_values", "val_text")
 
