@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarazu.functions.text import col, normalize_whitespace, to_roman_digits
+from tarazu.functions.text import col, let, normalize_whitespace, to_roman_digits
 
 
 def _pad(part: Column, n: int) -> Column:
@@ -15,10 +15,12 @@ def _pad(part: Column, n: int) -> Column:
 def normalize_date(c: Column | str) -> Column:
     """Western digits, hyphens between the parts, zeros in front where there are three parts. Null stays null."""
     x = F.translate(normalize_whitespace(to_roman_digits(c)), "/।|. ", "-----")
-    p = F.split(x, "-")
-    part = lambda i: F.try_element_at(p, F.lit(i))
-    full = F.concat_ws("-", _pad(part(1), 4), _pad(part(2), 2), _pad(part(3), 2))
-    return F.when(col(c).isNull(), None).when(F.size(p) == 3, full).otherwise(x)
+
+    def padded(p: Column) -> Column:
+        part = lambda i: F.try_element_at(p, F.lit(i))
+        return F.when(F.size(p) == 3, F.concat_ws("-", _pad(part(1), 4), _pad(part(2), 2), _pad(part(3), 2))).otherwise(F.array_join(p, "-"))
+
+    return F.when(col(c).isNotNull(), let(F.split(x, "-"), padded))
 
 
 def bs_part(c: Column | str, i: int) -> Column:
@@ -26,21 +28,34 @@ def bs_part(c: Column | str, i: int) -> Column:
     return F.try_element_at(F.split(normalize_date(c), "-"), F.lit(i)).try_cast("int")
 
 
+def with_parts(df: DataFrame, c: str, prefix: str = "_bs") -> DataFrame:
+    """df with the three parts of a BS date as prefix1..3, read once for all uses."""
+    cut = df.withColumn(f"{prefix}_parts", F.split(normalize_date(c), "-"))
+    for i in (1, 2, 3):
+        cut = cut.withColumn(f"{prefix}{i}", F.try_element_at(f"{prefix}_parts", F.lit(i)).try_cast("int"))
+    return cut.drop(f"{prefix}_parts")
+
+
 def month_id(c: Column | str) -> Column:
     """year * 12 + month; null without both."""
-    y, m = bs_part(c, 1), bs_part(c, 2)
-    return F.when(m.between(1, 12), y * 12 + m)
+    part = lambda p, i: F.try_element_at(p, F.lit(i)).try_cast("int")
+    return let(F.split(normalize_date(c), "-"), lambda p: F.when(part(p, 2).between(1, 12), part(p, 1) * 12 + part(p, 2)))
 
 
 def approx_day(c: Column | str) -> Column:
     """year * 365 + month * 30 + day: near enough for differences within a month."""
-    return bs_part(c, 1) * 365 + bs_part(c, 2) * 30 + bs_part(c, 3)
+    part = lambda p, i: F.try_element_at(p, F.lit(i)).try_cast("int")
+    return let(F.split(normalize_date(c), "-"), lambda p: part(p, 1) * 365 + part(p, 2) * 30 + part(p, 3))
 
 
 def fiscal_year(c: Column | str) -> Column:
     """The fiscal year begins with the fourth month."""
-    y, m = bs_part(c, 1), bs_part(c, 2)
-    return F.when(y.between(2000, 2099) & m.between(1, 12), F.when(m <= 3, y - 1).otherwise(y))
+
+    def year(p: Column) -> Column:
+        y, m = (F.try_element_at(p, F.lit(i)).try_cast("int") for i in (1, 2))
+        return F.when(y.between(2000, 2099) & m.between(1, 12), F.when(m <= 3, y - 1).otherwise(y))
+
+    return let(F.split(normalize_date(c), "-"), year)
 
 
 def fiscal_label(year: Column) -> Column:

@@ -25,17 +25,32 @@ def ratio(a: str, b: str) -> float:
 
 
 def partial_ratio(a: str, b: str) -> float:
-    """Best ratio of the shorter text with a window of the longer one, windows running over its ends included."""
+    """Best ratio of the shorter text with a window of the longer one, windows running over its ends included.
+
+    Stretches of two window lengths are bounded first: no window in one can share more with the short
+    text than the whole stretch does. They are searched from the best bound down, as long as it can win.
+    """
     short, long = (a, b) if len(a) <= len(b) else (b, a)
     if not short:
         return 1.0 if not long else 0.0
     if short in long:
         return 1.0
-    n, best, letters = len(short), 0.0, set(short)
-    for i in range(1 - n, len(long)):
-        lo, hi = max(0, i), min(len(long), i + n)
-        if long[hi - 1] in letters and (i < 0 or long[lo] in letters or hi == len(long)):
-            best = max(best, ratio(short, long[lo:hi]))
+    n, letters = len(short), set(short)
+    best = 0.0
+    for k in range(1, n):  # windows over either end
+        for part in (long[:k], long[-k:]):
+            if 2 * min(k, n) / (n + k) > best:
+                best = max(best, ratio(short, part))
+    stretches = []
+    for start in range(0, max(1, len(long) - n + 1), n):
+        shared = lcs(short, long[start : start + 2 * n - 1])
+        stretches.append((-shared, start))
+    for shared, start in sorted(stretches):
+        if -shared / n <= best:
+            break
+        for i in range(start, min(start + n, len(long) - n + 1)):
+            if long[i] in letters or i == start:
+                best = max(best, ratio(short, long[i : i + n]))
     return best
 
 

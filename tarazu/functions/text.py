@@ -20,10 +20,15 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once, however often body names it."""
+    return F.transform(F.array(value), body).getItem(0)
+
+
 def normalize_whitespace(c: Column | str) -> Column:
     """White space of any script as single spaces, none at the ends; then no quotes at the ends. Null and blank give ''."""
     x = F.btrim(F.trim(F.regexp_replace(F.coalesce(col(c), F.lit("")), SPACES, " ")), F.lit("\"'"))
-    return F.when(F.trim(x) == "", "").otherwise(x)
+    return let(x, lambda v: F.when(F.trim(v) == "", "").otherwise(v))
 
 
 def to_roman_digits(c: Column | str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarazu.functions.dates import approx_day, month_id
+from tarazu.functions.dates import with_parts
 from tarazu.functions.similarity import name_score
 from tarazu.functions.text import match_form
 from tarazu.operators.ranking import top_per_key
@@ -21,9 +21,14 @@ def candidates(cases: DataFrame, releases: DataFrame) -> DataFrame:
     a release without a month or a day is undated and is a candidate of every case of its bucket or, without
     a month, of none here (see undated()).
     """
-    c = cases.withColumn("_m", month_id("dated")).withColumn("_d", approx_day("dated")).where(F.col("_m").isNotNull())
+    def numbered(df: DataFrame) -> DataFrame:
+        cut = with_parts(df, "dated")
+        month = F.when(F.col("_bs2").between(1, 12), F.col("_bs1") * 12 + F.col("_bs2"))
+        return cut.withColumn("_m", month).withColumn("_d", F.col("_bs1") * 365 + F.col("_bs2") * 30 + F.col("_bs3")).where(F.col("_m").isNotNull())
+
+    c = numbered(cases.select("case_key", "dated"))
     c = c.withColumn("_b", F.explode(F.array(F.col("_m") - 1, F.col("_m"), F.col("_m") + 1)))
-    r = releases.select("press_id", month_id("dated").alias("_b"), approx_day("dated").alias("_rd")).where(F.col("_b").isNotNull())
+    r = numbered(releases.select("press_id", "dated")).select("press_id", F.col("_m").alias("_b"), F.col("_d").alias("_rd"))
     gap = F.abs(F.col("_rd") - F.col("_d"))
     rank = F.when(F.col("_rd").isNull() | F.col("_d").isNull(), DAYS + 1).when(gap <= DAYS, gap)
     return c.join(r, "_b").select("case_key", "press_id", rank.cast("int").alias("group_rank")).where(F.col("group_rank").isNotNull())
@@ -35,6 +40,7 @@ def scored(pairs: DataFrame, names: DataFrame, releases: DataFrame) -> DataFrame
     The similarity runs once for each distinct (name, release) pair.
     """
     text = releases.select("press_id", match_form("text").alias("_text"))
+    names = names.select("case_key", "name").distinct()
     each = pairs.join(names.select("case_key", "name"), "case_key").select("case_key", "press_id", "group_rank", "name")
     distinct = each.select("name", "press_id").distinct().join(text, "press_id").select("name", "press_id", name_score()(match_form("name"), "_text", "name").alias("s"))
     return each.join(distinct, ["name", "press_id"]).groupBy("case_key", "press_id", "group_rank").agg(F.max("s").alias("score"))

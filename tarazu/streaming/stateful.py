@@ -11,8 +11,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 
-def read_files(spark: SparkSession, path: str, schema: StructType, per_trigger: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).parquet(path)
+def read_files(spark: SparkSession, path: str, schema: StructType, per_trigger: int = 1, glob: str = "*.parquet") -> DataFrame:
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).option("pathGlobFilter", glob).parquet(path)
 
 
 def windowed_counts(events: DataFrame, at: str, by: str, length: str, late: str) -> DataFrame:

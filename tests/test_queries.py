@@ -7,9 +7,9 @@ CORE = ("tarazu.plans",)
 
 
 def names():
-    from tarazu.plans import court_queries, training_queries
+    from tarazu.plans import court_queries, page_queries, training_queries
 
-    return [*training_queries.QUERIES, *court_queries.QUERIES]
+    return [*training_queries.QUERIES, *court_queries.QUERIES, *[q for q in page_queries.QUERIES if q not in court_queries.QUERIES]]
 
 
 @pytest.mark.parametrize("name", names())
