@@ -31,9 +31,10 @@ _ONE = _WIDE | {ord(c): "-" for c in HYPHENS} | {ord(c): "." for c in POINTS}
 _ANY = re.compile("[" + "".join(map(chr, _ONE)).replace("\\", "\\\\").replace("-", "\\-").replace("]", "\\]") + "]")
 _JOINER = re.compile("(?<!्)[‌‍]|[‌‍](?![ऀ-ॿ])")
 _GONE = re.compile("[­؜᠎​‎‏‪-‮⁠-⁯﻿︀-️" + BLANKS + "]")
-_SPACE = re.compile(r"[^\S \n\r]|\x85| | ")
+_SPACES = [chr(c) for c in (9, 11, 12, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 _LETTERS = re.compile(r"[^\W\d_]+")
 TO_LATIN = CYRILLIC | GREEK
+_LOOKALIKE = re.compile("[" + "".join(TO_LATIN) + "]")
 _SETS = {"cyrillic": {v: k for k, v in CYRILLIC.items()}, "greek": {v: k for k, v in GREEK.items()}}
 
 #: Java pattern of every text that may not be plain (a superset): anything beside ASCII, Latin-1 letters and plain Devanagari.
@@ -44,14 +45,24 @@ def fold(text: str | None, lines: bool = False) -> str | None:
     """The text by character rules alone; look-alike letters stay. lines: line ends stay as they are."""
     if text is None:
         return None
-    if _ANY.search(text):
-        text = text.translate(_ONE)
-    text = _GONE.sub("", text)
-    text = _SPACE.sub(" ", text)
+    # each rule is tried only on texts that hold what it is about: most hold nothing of the kind
+    if text.isascii():
+        changed = [c for c in _SPACES if c in text]
+    else:
+        if _ANY.search(text):
+            text = text.translate(_ONE)
+        text = _GONE.sub("", text)
+        changed = [c for c in _SPACES if c in text]
+    for c in changed:
+        text = text.replace(c, " ")
     if not lines:
         text = text.replace("\n", " ").replace("\r", " ")
-    text = unicodedata.normalize("NFC", _JOINER.sub("", text))
-    return _SEQ.sub(lambda m: SEQUENCES[m.group()], text)
+    if "\u200c" in text or "\u200d" in text:
+        text = _JOINER.sub("", text)
+    text = unicodedata.normalize("NFC", text)
+    while any(k in text for k in SEQUENCES):  # a composed sign may compose with what stands before it
+        text = _SEQ.sub(lambda m: SEQUENCES[m.group()], text)
+    return text
 
 
 def script(ch: str) -> str | None:
@@ -89,7 +100,7 @@ def mixed(text: str) -> bool:
 def plain(text: str | None) -> str | None:
     """fold() and the first repair of every mixed word, without a vocabulary: for keys and comparisons."""
     text = fold(text)
-    if text and not text.isascii() and any(c in TO_LATIN for c in text):
+    if text and not text.isascii() and _LOOKALIKE.search(text):
         text = _LETTERS.sub(lambda m: (repairs(m.group()) or [m.group()])[0], text)
     return text
 
