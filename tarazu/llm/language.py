@@ -23,7 +23,7 @@ from tarazu.session import spread
 #: languages of each family, in the order of the model's scores
 FAMILIES = {"devanagari": ("ne", "hi", "mai"), "latin": ("en", "ne")}
 LANGUAGES = ("ne", "en", "hi", "mai")
-SAMPLE = 500  # documents per label and family the machines are fitted on, at most
+SAMPLE = 300  # documents per label and family the machines are fitted on, at most
 SAMPLE_CHARS = 20_000  # longest text taken into the sample
 BITS = 17  # log2 of the hashed features
 ORDERS = (1, 2, 3, 4, 5)  # lengths of the n-grams
