@@ -31,7 +31,8 @@ WINDOW = 7  # days between a case's registration and a record's date within whic
 RIDGE, SHRINK = 0.02, 0.5  # added to every variance; share by which covariances are drawn to the diagonal
 EM_STEPS, ROUNDS = 25, 4  # steps between two exclusions; exclusions
 MATCH = 0.5  # least posterior of a match
-KNOWN = 3  # similarities a match must know, whatever they say
+KNOWN = 3  # similarities a match must know, whatever they say, or
+NAMED, AGREES = 0.8, 0.7  # a name found with both its words, and one more similarity that agrees so far
 
 # The offences a case or record may name, in the words of the sources.
 OFFENCES = {
@@ -261,9 +262,14 @@ def start(x: np.ndarray) -> np.ndarray:
     return np.where((mean >= 0.8) & (known.sum(1) >= KNOWN), 0.95, 0.02)
 
 
+def tells(x: np.ndarray) -> np.ndarray:
+    """Whether a vector can be a match at all: KNOWN similarities, or a whole name and one that agrees."""
+    return ((x != UNKNOWN).sum(1) >= KNOWN) | ((x[:, 0] >= NAMED) & (x[:, 1:] >= AGREES).any(1))
+
+
 def expectation_maximisation(x: np.ndarray, n: np.ndarray, posterior: np.ndarray, steps: int = EM_STEPS) -> np.ndarray:
-    """Posterior of a match for each vector x seen n times, from first posteriors; 0 with fewer than KNOWN similarities."""
-    told = (x != UNKNOWN).sum(1) >= KNOWN
+    """Posterior of a match for each vector x seen n times, from first posteriors; 0 for vectors that tell too little."""
+    told = tells(x)
     posterior = np.where(told, posterior, 0.0)
     for _ in range(steps):
         w1, w0 = n * posterior, n * (1 - posterior)

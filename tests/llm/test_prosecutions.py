@@ -49,6 +49,13 @@ def test_matching(spark):
     assert len({(s, i) for _, s, i in got}) == len(got)
 
 
+def test_undated_sheet_without_office(spark):
+    c, e, p, s = tables(spark)
+    more = spark.createDataFrame([(70, None, f"नेपाल सरकार वि. {NAMES[1]} (घुस लिएको)", None, None), (71, None, "नेपाल सरकार वि. अरुण देव पराजुली (घुस लिएको)", None, None)], CS)
+    got = {(r.case_number, r.source_id) for r in matches(match(c, e, p, s.unionByName(more))).where("source_table = 'charge_sheets' AND source_id >= 70").collect()}
+    assert got == {("080-CR-0001", 70)}
+
+
 def test_empty(spark):
     c, e, p, s = tables(spark)
     assert match(c.limit(0), e.limit(0), p, s).count() == 0 and match(c, e, p.limit(0), s.limit(0)).count() == 0
