@@ -267,16 +267,24 @@ def tells(x: np.ndarray) -> np.ndarray:
     return ((x != UNKNOWN).sum(1) >= KNOWN) | ((x[:, 0] >= NAMED) & (x[:, 1:] >= AGREES).any(1))
 
 
+def log_odds(x: np.ndarray, n: np.ndarray, posterior: np.ndarray) -> np.ndarray:
+    """Uncapped log odds of a match for each vector under the mixtures that the posteriors give; minus infinity for vectors that tell too little."""
+    w1, w0 = n * posterior, n * (1 - posterior)
+    prior = min(max(w1.sum() / n.sum(), 1e-4), 1 - 1e-4)
+    l1 = _density(x, *_estimate(x, w1)) + np.log(prior)
+    l0 = _density(x, *_estimate(x, w0)) + np.log(1 - prior)
+    return np.where(tells(x), l1 - l0, -np.inf)
+
+
+def _chance(odds: np.ndarray) -> np.ndarray:
+    return np.where(np.isfinite(odds), 1 / (1 + np.exp(-np.clip(odds, -50, 50))), 0.0)
+
+
 def expectation_maximisation(x: np.ndarray, n: np.ndarray, posterior: np.ndarray, steps: int = EM_STEPS) -> np.ndarray:
     """Posterior of a match for each vector x seen n times, from first posteriors; 0 for vectors that tell too little."""
-    told = tells(x)
-    posterior = np.where(told, posterior, 0.0)
+    posterior = np.where(tells(x), posterior, 0.0)
     for _ in range(steps):
-        w1, w0 = n * posterior, n * (1 - posterior)
-        prior = min(max(w1.sum() / n.sum(), 1e-4), 1 - 1e-4)
-        l1 = _density(x, *_estimate(x, w1)) + np.log(prior)
-        l0 = _density(x, *_estimate(x, w0)) + np.log(1 - prior)
-        new = np.where(told, 1 / (1 + np.exp(np.clip(l0 - l1, -50, 50))), 0.0)
+        new = _chance(log_odds(x, n, posterior))
         if np.abs(new - posterior).max() < 1e-6:
             break
         posterior = new
@@ -310,8 +318,10 @@ def records(releases: DataFrame, sheets: DataFrame) -> DataFrame:
 def match(cases: DataFrame, entities: DataFrame, releases: DataFrame, sheets: DataFrame) -> DataFrame:
     """case_number, court_identifier, source_table, source_id, confidence, FEATURES: every candidate pair with its posterior.
 
-    Rows without an id yield none; null titles, texts and dates leave their similarities neutral. Ties
-    of equal posteriors for one record go to the smaller case key. Empty tables give no pair.
+    Rows without an id yield none; null titles, texts and dates leave their similarities neutral. The
+    best candidate of a record keeps its own posterior, the others share what it leaves, which is under
+    MATCH. Ties of equal log odds go to the greater sum of similarities, then to the smaller case key.
+    Empty tables give no pair.
     """
     c, r = cut(special_cases(cases, entities)), cut(records(releases, sheets))
     left = c.select("case_key", F.explode("c.keys").alias("key"))
@@ -328,17 +338,21 @@ def match(cases: DataFrame, entities: DataFrame, releases: DataFrame, sheets: Da
     n = np.array([row["count"] for row in cells], float)
     posterior = start(x)
     spark = vectors.sparkSession
+    told = sum((F.when(F.col(f) != UNKNOWN, F.col(f)).otherwise(0.0) for f in FEATURES), F.lit(0.0))
     for k in range(ROUNDS):
         posterior = expectation_maximisation(x, n, posterior)
-        table = spark.createDataFrame([(*map(float, v), float(p)) for v, p in zip(x, posterior)], ", ".join(f"{f} double" for f in FEATURES) + ", p double")
+        logs = log_odds(x, n, posterior)
+        table = spark.createDataFrame([(*map(float, v), float(p), float(o)) for v, p, o in zip(x, posterior, logs)], ", ".join(f"{f} double" for f in FEATURES) + ", p double, log_odds double")
         scored = vectors.join(F.broadcast(table), list(FEATURES))  # bounded by the LEVELS
         odds = F.col("p") / (1 - F.least(F.col("p"), F.lit(1 - 1e-9)))
-        sums = scored.groupBy("source_table", "source_id").agg(F.sum(odds).alias("_all"))
+        sums = scored.groupBy("source_table", "source_id").agg(F.sum(odds).alias("_all"), F.min_by("case_key", F.struct(-F.col("log_odds"), -told, "case_key")).alias("_best"))
         exclusive = scored.join(sums, ["source_table", "source_id"]).withColumn("confidence", odds / (1 + F.col("_all")))
         if k + 1 < ROUNDS:
             mean = {tuple(row[f] for f in FEATURES): row["m"] for row in exclusive.groupBy(*FEATURES).agg(F.avg("confidence").alias("m")).collect()}
             posterior = np.array([mean[tuple(v)] for v in x])
-    return exclusive.select("case_number", "court_identifier", "source_table", "source_id", "confidence", *FEATURES)
+    # cases of a table are distinct, so the record goes to one of them: the best, by its own posterior
+    own = F.when(F.col("case_key") == F.col("_best"), F.col("p")).otherwise(F.col("confidence"))
+    return exclusive.select("case_number", "court_identifier", "source_table", "source_id", own.alias("confidence"), *FEATURES)
 
 
 def matches(scored: DataFrame) -> DataFrame:

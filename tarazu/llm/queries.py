@@ -32,13 +32,16 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variant_pairs(p4_parties(spark, sf_dir))
 
 
+def _p5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return match(*(table(spark, sf_dir, t) for t in ("court_cases", "court_case_entities", "press_releases", "charge_sheets")))
+
+
 def p5_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = match(*(table(spark, sf_dir, t) for t in ("court_cases", "court_case_entities", "press_releases", "charge_sheets")))
-    return scored.select("case_number", "court_identifier", "source_table", "source_id", F.round("confidence", 6).alias("confidence"))
+    return _p5(spark, sf_dir).select("case_number", "court_identifier", "source_table", "source_id", F.round("confidence", 6).alias("confidence"))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matches(p5_scores(spark, sf_dir)).drop("confidence")
+    return matches(_p5(spark, sf_dir)).select("case_number", "court_identifier", "source_table", "source_id")  # unrounded: a tied half is no match
 
 
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

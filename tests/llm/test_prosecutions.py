@@ -1,6 +1,7 @@
 from datetime import date, datetime
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tarazu.llm.prosecutions import FEATURES, UNKNOWN, amounts, expectation_maximisation, match, matches, offence, read_date, read_record, start
 
@@ -56,6 +57,13 @@ def test_undated_sheet_without_office(spark):
     assert got == {("080-CR-0001", 70)}
 
 
+def test_tied_cases(spark):
+    c, e, p, s = tables(spark)
+    twin = c.where("case_number = '080-CR-0002'").withColumn("case_number", F.lit("080-CR-0009"))
+    got = [(r.case_number, r.source_table) for r in matches(match(c.unionByName(twin), e, p, s)).where("source_id = 2").collect()]
+    assert sorted(got) == [("080-CR-0002", "charge_sheets"), ("080-CR-0002", "press_releases")]
+
+
 def test_empty(spark):
     c, e, p, s = tables(spark)
     assert match(c.limit(0), e.limit(0), p, s).count() == 0 and match(c, e, p.limit(0), s.limit(0)).count() == 0
