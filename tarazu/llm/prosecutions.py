@@ -1,6 +1,8 @@
 """Court cases, press releases and charge sheets about one prosecution, matched without a shared key.
 
-Candidates share a defendant's name codes, a day with a name or place, or an amount with a place.
+Candidates share two of a defendant's name codes; one of them or the place of the office, in months
+near each other; one of them with the place, or, of an undated record, with the offence; or an
+amount, as coarsely as amounts are compared, with the place.
 Each candidate gets a vector of similarities (name, date, office, offence, amount) of few levels, so
 that all candidates are counted in one bounded table. Two regularised Gaussians, of matches and of
 non-matches, are fitted to it by expectation-maximisation without labels. Two cases tied by one
@@ -27,7 +29,9 @@ from tarazu.session import cut
 FEATURES = ("name", "date", "office", "offence", "amount")
 UNKNOWN = -1.0  # a similarity of which one side has nothing to say
 LEVELS = {"name": (UNKNOWN, 0.0, 0.3, 0.8, 0.95, 1.0), "date": (UNKNOWN, 0.0, 0.3, 0.7, 1.0), "office": (UNKNOWN, 0.0, 0.7, 1.0), "offence": (UNKNOWN, 0.0, 1.0), "amount": (UNKNOWN, 0.0, 1.0)}
-WINDOW = 7  # days between a case's registration and a record's date within which they are compared by day
+WINDOW = 7  # days between a case's registration and a record's date within which they agree
+MONTHS = 2  # months apart that are candidates: all gaps that score above 0
+ROUND = 10_000  # amounts are candidates by buckets of this width and their neighbours: twice the tolerance of rounded ones
 RIDGE, SHRINK = 0.02, 0.5  # added to every variance; share by which covariances are drawn to the diagonal
 EM_STEPS, ROUNDS = 25, 4  # steps between two exclusions; exclusions
 MATCH = 0.5  # least posterior of a match
@@ -127,10 +131,11 @@ def read_case(packed: str | None, parties: list, registered: str | None, case_ty
             if a < b:
                 keys.add(f"N|{a} {b}")
     place = office[:1]
-    if day is not None:
-        for t in tokens | set(place):
-            keys.update(f"D|{d}|{t}" for d in range(day - WINDOW, day + WINDOW + 1))
-    keys.update(f"A|{v}|{p}" for v in money for p in place)
+    if month is not None:
+        keys.update(f"M|{m}|{t}" for t in tokens | set(place) for m in range(month - MONTHS, month + MONTHS + 1))
+    keys.update(f"O|{t}|{p}" for t in tokens for p in place)
+    keys.update(f"F|{t}|{kind}" for t in tokens if kind)
+    keys.update(f"A|{v // ROUND + d}|{p}" for v in money for d in (-1, 0, 1) for p in place)
     return [list(n) for n in sorted(names)], day, month, office, kind, money, sorted(keys)
 
 
@@ -147,10 +152,17 @@ def read_record(title: str | None, body: str | None, dated: str | None) -> tuple
     tokens = codes(text)
     money = amounts(text)
     keys = {f"N|{min(a, b)} {max(a, b)}" for gap in (1, 2) for a, b in zip(tokens, tokens[gap:]) if a != b}
-    if day is not None:
-        keys.update(f"D|{day}|{t}" for t in tokens)
-    keys.update(f"A|{v}|{t}" for v in money for t in set(tokens))
-    return tokens, bool(ACCUSED.search(COUNTED.sub(" ", text))), day, month, bool(filed), any(t in _OFFICE_CODES for t in tokens), offence(_text(title)) or offence(_text(body)), money, sorted(keys)
+    kind = offence(_text(title)) or offence(_text(body))
+    offices = [i for i, t in enumerate(tokens) if t in _OFFICE_CODES]
+    places = {t for i in offices for t in tokens[max(0, i - 4) : i + 3]}
+    words = set(tokens)
+    if month is not None:
+        keys.update(f"M|{month}|{t}" for t in words)
+    elif kind:
+        keys.update(f"F|{t}|{kind}" for t in words)
+    keys.update(f"O|{t}|{p}" for t in words for p in places)
+    keys.update(f"A|{v // ROUND}|{t}" for v in money for t in words)
+    return tokens, bool(ACCUSED.search(COUNTED.sub(" ", text))), day, month, bool(filed), bool(offices), kind, money, sorted(keys)
 
 
 @F.pandas_udf(CASE)
@@ -324,8 +336,9 @@ def match(cases: DataFrame, entities: DataFrame, releases: DataFrame, sheets: Da
     Empty tables give no pair.
     """
     c, r = cut(special_cases(cases, entities)), cut(records(releases, sheets))
-    left = c.select("case_key", F.explode("c.keys").alias("key"))
-    right = r.select("source_table", "source_id", F.explode("r.keys").alias("key"))
+    hashed = lambda keys: F.explode(F.transform(keys, lambda k: F.xxhash64(k))).alias("key")
+    left = c.select("case_key", hashed("c.keys"))
+    right = r.select("source_table", "source_id", hashed("r.keys"))
     pairs = left.join(right, "key").select("case_key", "source_table", "source_id").distinct()
     slim_c = c.select("case_key", "case_number", "court_identifier", F.col("c").dropFields("keys").alias("c"))
     slim_r = r.select("source_table", "source_id", F.col("r").dropFields("keys").alias("r"))

@@ -3,7 +3,7 @@ from datetime import date, datetime
 import numpy as np
 from pyspark.sql import functions as F
 
-from tarazu.llm.prosecutions import FEATURES, UNKNOWN, amounts, expectation_maximisation, match, matches, offence, read_date, read_record, start
+from tarazu.llm.prosecutions import FEATURES, UNKNOWN, amounts, expectation_maximisation, match, matches, offence, read_case, read_date, read_record, start
 
 T = datetime(2023, 1, 1)
 CASE = "case_number string, court_identifier string, case_type string, case_subject string, defendant string, registration_date_bs string, registration_date_ad date, created_at timestamp_ntz, updated_at timestamp_ntz, title string"
@@ -57,6 +57,16 @@ def test_undated_sheet_without_office(spark):
     assert got == {("080-CR-0001", 70)}
 
 
+def test_candidates_are_as_wide_as_the_comparison():
+    case = set(read_case(NAMES[0], [], "2080-01-10", "भ्रष्टाचार ( घुस )", "कटार वन कार्यालय भ्रष्टाचार ( घुस ) बिगो रु. १,२३४,५६७")[-1])
+    records = [
+        ("नेपाल सरकार वि. रामे थापा (घुस लिएको)", "", None), ("रामे थापा विरुद्ध मुद्दा", "", "2080-02"), ("रामे थापा विरुद्ध मुद्दा", "", "2080-02-20"),
+        ("कटार वन कार्यालय का कर्मचारी विरुद्ध मुद्दा", "", "2080-02"), ("कटार वन कार्यालय का रामे थापा विरुद्ध मुद्दा", "", None), ("कटार वन कार्यालय, रु. 12.3 लाख", "", None),
+    ]
+    assert [i for i, r in enumerate(records) if not case & set(read_record(*r)[-1])] == []
+    assert not case & set(read_record("गटार वन कार्यालय का हरि राई विरुद्ध मुद्दा", "", "2078-01-10")[-1])
+
+
 def test_tied_cases(spark):
     c, e, p, s = tables(spark)
     twin = c.where("case_number = '080-CR-0002'").withColumn("case_number", F.lit("080-CR-0009"))
