@@ -5,8 +5,9 @@ by the words they share with the document (a bound that loses none) are tiled: t
 runs of words are found by Karp-Rabin hashes and marked, longest first, no word twice. The tiles that
 stand in the item's order in the document are then chained by dynamic programming; the share of the
 item's words they cover is the document's coverage of it. Passages made from one mould share most of
-their words with an item but not what is its own, so the chain must also cover a share of the item's
-specific words: those that few items have.
+their words with an item but have other words where the item has its own, so between its first and last
+word the chain must cover a share of the item's specific words: those that few items have. What the
+document breaks off doesn't count against it.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from tarazu.session import spread
 THRESHOLD = 0.5  # share of the item's words, to be exceeded
 MIN_RUN = 2  # least words of a tile
 LONG_RUN = 3  # a pair has one tile of so many words at least
-SPECIFIC = 0.25  # share of the item's specific words, to be reached
+SPECIFIC = 0.25  # share of the specific words of the stretch of the item that the chain spans, to be reached
 RARE_ITEMS = 0.03  # a word is specific if it stands in one item, or in no larger share of the items
 BROADCAST_ITEMS = 20_000  # evaluation sets beyond this are joined by their seeds instead of being shipped
 
@@ -144,13 +145,10 @@ class Items:
         else:
             self.own = [{self.vocab[w] for w in specific[k] if w in self.vocab} for _, _, k in cut]
         self.sizes = np.array([len(s) for s in self.seqs], np.int64)
-        self.owned = np.array([sum(w in own for w in seq) for seq, own in zip(self.seqs, self.own)], np.int64)
-        posts: dict[int, dict[int, list[int]]] = defaultdict(dict)
+        posts: dict[int, dict[int, int]] = defaultdict(lambda: defaultdict(int))
         for k, seq in enumerate(self.seqs):
             for w in seq:
-                n = posts[w].setdefault(k, [0, 0])
-                n[0] += 1
-                n[1] += w in self.own[k]
+                posts[w][k] += 1
         self.posts = {w: (np.fromiter(p, np.int64, len(p)), np.array(list(p.values()), np.int64)) for w, p in posts.items()}
         self.seeds: dict[int, list[int]] = defaultdict(list)
         for k, seq in enumerate(self.seqs):
@@ -163,11 +161,11 @@ class Items:
         seen = {w for w in doc if w >= 0}
         if not seen:
             return []
-        shared = np.zeros((len(self.seqs), 2), np.int64)
+        shared = np.zeros(len(self.seqs), np.int64)
         for w in seen:
             k, n = self.posts[w]
             shared[k] += n
-        able = (shared[:, 0] > threshold * self.sizes) & (shared[:, 1] >= SPECIFIC * self.owned)
+        able = shared > threshold * self.sizes
         if not able.any():
             return []
         long = {k for h in set(_grams(doc, LONG_RUN)) for k in self.seeds.get(h, ()) if able[k]}
@@ -176,7 +174,10 @@ class Items:
             seq = self.seqs[k]
             at = [p for i, _, n in chain(tiles(seq, doc)) for p in range(i, i + n)]
             cover = len(at) / len(seq)
-            if cover > threshold and sum(seq[p] in self.own[k] for p in at) >= SPECIFIC * self.owned[k]:
+            if cover <= threshold:
+                continue
+            spanned = sum(w in self.own[k] for w in seq[at[0] : at[-1] + 1])
+            if sum(seq[p] in self.own[k] for p in at) >= SPECIFIC * spanned:
                 out.append((self.ids[k], cover))
         return out
 

@@ -1,6 +1,6 @@
 import random
 
-from tarazu.llm.leakage import chain, find_leaks, tiles, words
+from tarazu.llm.leakage import Items, chain, find_leaks, tiles, words
 
 
 def brute_tiles(item, doc, least):
@@ -64,3 +64,9 @@ def test_moulds_are_no_leaks(spark):
     items = spark.createDataFrame([(i, mould.format(f"name{i}", i + 100, i + 200, f"noun{i}", f"thing{i}")) for i in range(60)], "item_id long, text string")
     docs = spark.createDataFrame([(1, mould.format("elsewho", 1, 2, "coal", "wood")), (2, mould.format("name7", 107, 207, "noun7", "thing7"))], "doc_id long, text string")
     assert [(r.doc_id, r.item_id) for r in find_leaks(docs, items).collect()] == [(2, 7)]
+
+
+def test_half_without_the_rare_words_is_a_leak():
+    shared = "years later the clerk was puzzled to learn that the whole store had vanished from the shed"
+    rows = [(i, f"{shared} while name{i} of place{i} counted crate{i} near river{i} with child{i}") for i in range(60)]
+    assert [i for i, _ in Items(rows).found(f"before {shared} and nothing more")] == list(range(60))
