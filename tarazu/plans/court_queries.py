@@ -624,7 +624,7 @@ def month_candidates(t):
 def fuzzy_pairs(t):
     cases, releases = _linkage_inputs(t)
     names = cases.select("case_key", F.explode(text.split_parties("defendant")).alias("name"))
-    return linkage.best(linkage.scored(linkage.candidates(cases, releases), names, releases), 5)
+    return linkage.best(linkage.scored(linkage.candidates(cases, releases).unionByName(linkage.undated(names, releases)), names, releases), 5)
 
 
 @query()

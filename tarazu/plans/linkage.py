@@ -14,6 +14,12 @@ DAYS = 3  # dated releases further from the registration are no candidates
 DATED, UNDATED = 0.85, 0.90  # least scores
 
 
+def _numbered(df: DataFrame) -> DataFrame:
+    cut = with_parts(df, "dated")
+    month = F.when(F.col("_bs2").between(1, 12), F.col("_bs1") * 12 + F.col("_bs2"))
+    return cut.withColumn("_m", month).withColumn("_d", F.col("_bs1") * 365 + F.col("_bs2") * 30 + F.col("_bs3"))
+
+
 def candidates(cases: DataFrame, releases: DataFrame) -> DataFrame:
     """case_key, press_id, group_rank: 0 for the same day, 1..DAYS for days apart, DAYS + 1 for undated releases.
 
@@ -21,11 +27,7 @@ def candidates(cases: DataFrame, releases: DataFrame) -> DataFrame:
     a release without a month or a day is undated and is a candidate of every case of its bucket or, without
     a month, of none here (see undated()).
     """
-    def numbered(df: DataFrame) -> DataFrame:
-        cut = with_parts(df, "dated")
-        month = F.when(F.col("_bs2").between(1, 12), F.col("_bs1") * 12 + F.col("_bs2"))
-        return cut.withColumn("_m", month).withColumn("_d", F.col("_bs1") * 365 + F.col("_bs2") * 30 + F.col("_bs3")).where(F.col("_m").isNotNull())
-
+    numbered = lambda df: _numbered(df).where(F.col("_m").isNotNull())
     c = numbered(cases.select("case_key", "dated"))
     c = c.withColumn("_b", F.explode(F.array(F.col("_m") - 1, F.col("_m"), F.col("_m") + 1)))
     r = numbered(releases.select("press_id", "dated")).select("press_id", F.col("_m").alias("_b"), F.col("_d").alias("_rd"))
@@ -34,6 +36,17 @@ def candidates(cases: DataFrame, releases: DataFrame) -> DataFrame:
     return c.join(r, "_b").select("case_key", "press_id", rank.cast("int").alias("group_rank")).where(F.col("group_rank").isNotNull())
 
 
+def undated(names: DataFrame, releases: DataFrame) -> DataFrame:
+    """case_key, press_id, group_rank DAYS + 1: the releases without a month, for every case, dated or not, of which they hold a word of a name.
+
+    names: case_key, name; releases: press_id, dated, text.
+    """
+    tokens = lambda c: F.explode(F.array_distinct(F.split(match_form(c), " "))).alias("_t")
+    free = _numbered(releases.select("press_id", "dated", "text")).where(F.col("_m").isNull()).select("press_id", tokens("text")).where(F.col("_t") != "")
+    who = names.select("case_key", tokens("name")).distinct()
+    return who.join(free, "_t").select("case_key", "press_id", F.lit(DAYS + 1).alias("group_rank")).distinct()
+
+
 def scored(pairs: DataFrame, names: DataFrame, releases: DataFrame) -> DataFrame:
     """pairs with score: the best of the case's names in the release. names: case_key, name; releases: press_id, text.
 

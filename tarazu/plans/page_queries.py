@@ -171,7 +171,7 @@ def nested_records(t):
     """JSON of each special case with parties, releases and sheets."""
     cases, releases = court_queries._linkage_inputs(t)
     names = cases.select("case_key", F.explode(text.split_parties("defendant")).alias("name"))
-    found = linkage.best(linkage.scored(linkage.candidates(cases, releases), names, releases))
+    found = linkage.best(linkage.scored(linkage.candidates(cases, releases).unionByName(linkage.undated(names, releases)), names, releases))
     sheets = t("charge_sheets").select(F.col("case_number").alias("case_key"), "charge_id", "title")
     who = t("court_case_entities").where(F.col("court_identifier") == "special").select(F.col("case_number").alias("case_key"), "side", "name")
     full = linkage.nested(cases, found, sheets, who)

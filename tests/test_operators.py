@@ -100,3 +100,11 @@ def test_linkage(spark):
     names = spark.createDataFrame([("c1", "राम लाल थापा")], "case_key string, name string")
     top = linkage.best(linkage.scored(pairs, names, rel)).first()
     assert (top.press_id, top.status) == (1, "matched") and top.score == pytest.approx(1.0)
+
+
+def test_undated_releases_are_candidates(spark):
+    names = spark.createDataFrame([("dated", "Ram Lal Thapa"), ("undated", "Hari Man Rai"), ("other", "Gopal Ghale")], "case_key string, name string")
+    rel = spark.createDataFrame([(1, None, "a case against Ram Lal Thapa and Hari Man Rai"), (2, "", "a case against Hari Man Rai"), (3, "2080-01-10", "against Hari Man Rai")], "press_id long, dated string, text string")
+    pairs = linkage.undated(names, rel)
+    assert rows(pairs) == [("dated", 1, 4), ("undated", 1, 4), ("undated", 2, 4)]
+    assert {r.status for r in linkage.best(linkage.scored(pairs, names, rel)).collect()} == {"matched"}
