@@ -5,12 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def best_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key; an aggregation, so hot keys are combined before the shuffle."""
-    from tarazu.operators.dedupe import first_wins
-
-    return first_wins(df, keys, order)
+from tarazu.session import cut
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
@@ -18,20 +13,33 @@ def top_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int) ->
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= k)
 
 
-def pages(df: DataFrame, group: list[str], order: list[str], size: int, salt: int = 64) -> DataFrame:
-    """df with page_no from 0 and next_page (null on the last), per group in the order.
+def positions(df: DataFrame, group: list[str], order: list[str | Column], name: str) -> DataFrame:
+    """df with name: the place from 0 of each row in its group, and name_n: the rows of the group.
 
-    Positions come from counts per (group, range bucket), so a group holding most rows is numbered by
-    several tasks: rows are range-partitioned by the order and numbered within buckets.
+    Rows are sorted by range over the session's partitions and written once (cut), so that a group holding
+    most rows is numbered by many tasks, and counts and rows speak of the same partitions. A null group is a
+    group. Rows that the order leaves tied are numbered in one of their orders. An empty df gives no row.
     """
-    placed = df.repartitionByRange(salt, *group, *order).withColumn("_b", F.spark_partition_id())
-    placed = placed.withColumn("_r", F.row_number().over(Window.partitionBy("_b", *group).orderBy(*order)))
-    counts = placed.groupBy("_b", *group).agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("_total", F.sum("_n").over(Window.partitionBy(*group)))
-    joined = placed.join(before.drop("_n"), ["_b", *group])
-    page = F.floor((F.col("_r") + F.col("_before") - 1) / size).cast("int")
-    last = F.floor((F.col("_total") - 1) / size).cast("int")
-    return joined.withColumn("page_no", page).withColumn("next_page", F.when(page < last, page + 1)).drop("_b", "_r", "_before", "_total")
+    sort = [F.col(c) if isinstance(c, str) else c for c in order]
+    keys = [F.col(c) for c in group]
+    sorted_rows = df.repartitionByRange(*keys, *sort).sortWithinPartitions(*keys, *sort)
+    row_no = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # its low bits count the rows of a partition
+    placed = cut(sorted_rows.withColumn("_b", F.spark_partition_id()).withColumn("_i", row_no))
+    counts = placed.groupBy("_b", *group).agg(F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_start"))
+    within = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))  # a row for each partition that holds the group
+    before = F.coalesce(F.sum("_n").over(within.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select(F.col("_b").alias("_ob"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(group)], (before - F.col("_start")).alias("_off"), F.sum("_n").over(within).alias(f"{name}_n"))
+    on = F.col("_b") == F.col("_ob")
+    for i, c in enumerate(group):
+        on = on & F.col(c).eqNullSafe(F.col(f"_o{i}"))
+    return placed.join(offsets, on).select(*df.columns, (F.col("_i") + F.col("_off")).alias(name), f"{name}_n")
+
+
+def pages(df: DataFrame, group: list[str], order: list[str], size: int) -> DataFrame:
+    """df with page_no from 0 and next_page (null on the last), per group in the order; null groups are paged too."""
+    page = F.floor(F.col("_pos") / size).cast("int")
+    last = F.floor((F.col("_pos_n") - 1) / size).cast("int")
+    return positions(df, group, order, "_pos").select(*df.columns, page.alias("page_no"), F.when(page < last, page + 1).alias("next_page"))
 
 
 def to_delete(df: DataFrame, name: str, keep: int) -> DataFrame:
@@ -42,9 +50,8 @@ def to_delete(df: DataFrame, name: str, keep: int) -> DataFrame:
 
 
 def islands(df: DataFrame, key: list[str], n: str) -> DataFrame:
-    """key, island, first_n, last_n, n_rows: runs of consecutive numbers."""
-    w = Window.partitionBy(*key).orderBy(n)
-    marked = df.select(*key, n).distinct().withColumn("island", F.col(n) - F.row_number().over(w))
+    """key, first_n, last_n, n_rows: runs of consecutive numbers. Numbered by range, so a hot key is not one task."""
+    marked = positions(df.select(*key, n).distinct(), key, [n], "_pos").withColumn("island", F.col(n) - F.col("_pos"))
     return marked.groupBy(*key, "island").agg(F.min(n).alias("first_n"), F.max(n).alias("last_n"), F.count(F.lit(1)).alias("n_rows")).drop("island")
 
 

@@ -44,6 +44,7 @@ PRIOR = 2.0  # weight of the score over all sources in the score of one
 
 _CAND = {k: re.compile(v) for k, v in CANDIDATES.items()}
 _CLOSING = re.compile(CLOSING)
+_OTHERS = re.compile(OTHERS)
 _MARKED = re.compile(rf"^(?:{MARK})\s*")
 _MARK_CUT = re.compile(rf"(?:^|(?<=\s))(?:{MARK})\s+")
 _BULLET = re.compile(rf"^{BULLET}\s*(?=\S)")
@@ -87,9 +88,8 @@ def split_one(text: str | None, accepted: frozenset[str]) -> list[str]:
     if text is None or not text.strip():
         return []
     text = text.strip()
-    if _CLOSING.search(text[-80:]):
-        head, tail = text[:-80], text[-80:]
-        text = head + _CLOSING.sub("", tail)
+    if _OTHERS.search(text):  # most texts hold no closing word
+        text = _CLOSING.sub("", text)
     if not _TOUCHED.search(text):
         return [text] if text.strip() else []
     if accepted not in _MASTERS:
@@ -166,7 +166,7 @@ def split_values(df: DataFrame, field: str, source: Column, keep: list[str]) ->
     Null, blank and separator-only fields yield no row. source names a bounded set (a court class),
     so the accepted delimiters are one short row each and are broadcast.
     """
-    df = spread(df.select(*keep, F.col(field), source.alias("source")))
+    df = df.select(*keep, F.col(field), source.alias("source"))
     source = F.col("source")
     scores = delimiter_scores(df, field, source)
     least = F.when(F.col("delimiter") == "conjunction", ACCEPT_CHECKED).otherwise(ACCEPT)
@@ -194,13 +194,18 @@ def latest_cases(cases: DataFrame, *columns: str) -> DataFrame:
     return one.select("record_key", F.col("v._court").alias("court_identifier"), *[f"v.{c}" for c in columns])
 
 
-def packed_fields(hearings: DataFrame | None, cases: DataFrame) -> DataFrame:
-    """table_name, record_key, field_name, pos_no, val_text, n_values of the packed fields; single values included. Without hearings, of the cases' two."""
+def field_texts(hearings: DataFrame | None, cases: DataFrame) -> DataFrame:
+    """table_name, record_key, field_name, _field, source (field and kind of court) of the packed fields as stored. Without hearings, of the cases' two."""
     one = latest_cases(cases, "plaintiff", "defendant")
     sides = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("_field")) for f in ("plaintiff", "defendant")]))
     long = one.select("record_key", "court_identifier", sides.alias("s")).select(F.lit("court_cases").alias("table_name"), "record_key", "court_identifier", "s.*")
     if hearings is not None:
-        judges = hearings.select(F.lit("court_case_hearings").alias("table_name"), F.col("id").cast("string").alias("record_key"), "court_identifier", F.lit("judge_names").alias("field_name"), F.col("judge_names").alias("_field"))
+        own = spread(hearings.select("id", "court_identifier", "judge_names"), "id")
+        judges = own.select(F.lit("court_case_hearings").alias("table_name"), F.col("id").cast("string").alias("record_key"), "court_identifier", F.lit("judge_names").alias("field_name"), F.col("judge_names").alias("_field"))
         long = judges.unionByName(long)
-    source = F.concat_ws("/", "field_name", court_class())
-    return split_values(long, "_field", source, ["table_name", "record_key", "field_name"])
+    return long.select("table_name", "record_key", "field_name", "_field", F.concat_ws("/", "field_name", court_class()).alias("source"))
+
+
+def packed_fields(hearings: DataFrame | None, cases: DataFrame) -> DataFrame:
+    """table_name, record_key, field_name, pos_no, val_text, n_values of the packed fields; single values included. Without hearings, of the cases' two."""
+    return split_values(field_texts(hearings, cases), "_field", F.col("source"), ["table_name", "record_key", "field_name"])

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarazu.operators.ranking import positions
+
 
 def _sides(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     a = old.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.struct(*old.columns).alias("o"))
@@ -58,17 +60,9 @@ def mirror(old: DataFrame, snapshot: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def number_new(rows: DataFrame, existing: DataFrame, id_column: str, order: list[str]) -> DataFrame:
-    """New rows numbered on from the greatest id there is, in a total order.
+    """New rows numbered on from the greatest id there is, in a total order; an empty table counts as 0.
 
     Numbers are dealt per range partition after a count of each, so no task sees more than its share.
     """
     top = existing.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("m")).first().m
-    sorted_rows = rows.orderBy(*order)
-    return with_positions(sorted_rows, id_column).withColumn(id_column, F.col(id_column) + F.lit(top))
-
-
-def with_positions(sorted_rows: DataFrame, name: str) -> DataFrame:
-    """Positions 1.. of a globally sorted frame, without a window over all rows."""
-    schema = sorted_rows.schema.add(name, "long", False)
-    # zipWithIndex counts the partitions once, and numbers each from its offset
-    return sorted_rows.sparkSession.createDataFrame(sorted_rows.rdd.zipWithIndex().map(lambda r: (*r[0], r[1] + 1)), schema)
+    return positions(rows, [], order, "_pos").select(*rows.columns, (F.col("_pos") + F.lit(top + 1)).alias(id_column))

@@ -29,10 +29,6 @@ def tree_counts(docs: DataFrame, path: str) -> DataFrame:
     return docs.select(F.explode(prefixes(F.col(path))).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_docs")).withColumn("depth", F.size(F.split("node", "/")))
 
 
-def index_pages(docs: DataFrame, node: str, order: list[str], size: int) -> DataFrame:
-    return pages(docs, [node], order, size)
-
-
 def page_files(docs: DataFrame, base_url: str) -> DataFrame:
     """path, content: an HTML page for each document (document_id, title, url, source)."""
     ld = F.to_json(F.struct(F.lit("https://schema.org").alias("@context"), F.lit("DigitalDocument").alias("@type"), F.col("title").alias("name"), F.col("url").alias("url")))

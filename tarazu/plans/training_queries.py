@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarazu.operators.orphans import court_orphans, orphan_report
-from tarazu.operators.split_values import court_class, delimiter_scores, packed_fields
+from tarazu.operators.orphans import court_orphan_counts, court_orphans
+from tarazu.operators.split_values import delimiter_scores, field_texts, packed_fields
 from tarazu.session import table
 
 
@@ -16,8 +16,8 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_delimiters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = delimiter_scores(table(spark, sf_dir, "court_case_hearings"), "judge_names", court_class())
-    return scores.select("source", "delimiter", F.round("score", 4).alias("score"))
+    fields = field_texts(table(spark, sf_dir, "court_case_hearings"), table(spark, sf_dir, "court_cases"))
+    return delimiter_scores(fields, "_field", F.col("source")).select("source", "delimiter", F.round("score", 4).alias("score"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,7 +25,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orphan_report(p2_found(spark, sf_dir))
+    return court_orphan_counts(*(table(spark, sf_dir, t) for t in ("court_case_entities", "court_cases", "courts")))
 
 
 P2_SQL = """

@@ -16,6 +16,7 @@ def build(app: str = "tarazu", master: str | None = None, **conf: str) -> SparkS
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     } | conf
     builder = SparkSession.builder.appName(app)
     if master:
@@ -28,26 +29,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; set a local one only where none is named (tests)."""
+    """Use the shared folder the cluster names in spark.checkpoint.dir. Only a local master, as in tests, gets a folder of its own."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "tarazu-checkpoints"))
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The frame with its lineage cut, written to the shared checkpoint folder."""
+    """The frame with its lineage cut, written to the shared checkpoint folder.
+
+    The files go when nothing refers to the frame any more, by spark.cleaner.referenceTracking.cleanCheckpoints.
+    """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """df dealt out to all cores where its files are fewer than they are; large inputs stay where they lie.
+SMALL = 4 << 20  # bytes a core, below which a scan may be fewer tasks than there are cores
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """A scan of a small table dealt out to all cores by the hash of its key; larger ones stay where they lie.
 
-    For work in Python on whole rows: a small table in one file would else be one task. The deal is by
-    the rows' contents, so that a task run again gets the same rows.
+    For work in Python on whole rows: a small table in one file would else be one task. The size is the planner's,
+    so nothing is run or listed for it, and the deal depends on the key alone, so a task run again gets the same rows.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= 2 * cores:
-        return df
-    return df.repartition(2 * cores, *df.columns)
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return scan.repartition(2 * cores, key) if size < SMALL * cores else scan

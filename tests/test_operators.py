@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tarazu.operators import dedupe, matching, parties, quality, ranking, statefold, upsert
@@ -40,6 +41,17 @@ def test_pages(spark):
         assert all(r.next_page == (r.page_no + 1 if (r.page_no + 1) * size < n else None) and r.page_no == r.i // size for r in got.collect())
 
 
+def test_pages_of_wide_and_skewed_frames(spark):
+    n = 60_000
+    df = spark.range(n).select(F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 2 == 0, F.concat(F.lit("g"), (F.col("id") % 50).cast("string"))).alias("g"), F.pmod(F.xxhash64("id"), F.lit(n * 100)).alias("i"), "id", F.repeat(F.lit("x"), 50).alias("wide"))
+    w = Window.partitionBy("g").orderBy("i", "id")
+    want = df.select("id", F.floor((F.row_number().over(w) - 1) / 25).cast("int").alias("want"), F.count(F.lit(1)).over(Window.partitionBy("g")).alias("n"))
+    got = ranking.pages(df, ["g"], ["i", "id"], 25).join(want, "id")
+    nxt = F.when(F.col("want") < F.floor((F.col("n") - 1) / 25), F.col("want") + 1)
+    assert got.count() == n and got.where((F.col("page_no") != F.col("want")) | ~F.col("next_page").eqNullSafe(nxt)).count() == 0
+    assert ranking.pages(df.limit(0), ["g"], ["i"], 25).count() == 0
+
+
 def test_windows(spark):
     df = spark.createDataFrame([("a", i) for i in (1, 2, 3, 7, 8, 10, 10)], "k string, n long")
     assert rows(ranking.islands(df, ["k"], "n")) == [("a", 1, 3, 3), ("a", 7, 8, 2), ("a", 10, 10, 1)]
