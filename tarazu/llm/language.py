@@ -283,7 +283,7 @@ def identify(documents: DataFrame, model: Model | None = None) -> DataFrame:
                     lo, size = hi, 0
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where(F.length("text") > 0)
-    return spread(docs).mapInPandas(run, SCHEMA)
+    return spread(docs, "doc_id").mapInPandas(run, SCHEMA)
 
 
 def cases(labelled: DataFrame) -> DataFrame:

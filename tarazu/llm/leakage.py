@@ -1,18 +1,23 @@
 """Evaluation passages inside a corpus, by greedy string tiling.
 
-A document and an item are compared as words in one plain form. Items that could reach the threshold
-by the words they share with the document (a bound that loses none) are tiled: the longest common
-runs of words are found by Karp-Rabin hashes and marked, longest first, no word twice. The tiles that
-stand in the item's order in the document are then chained by dynamic programming; the share of the
-item's words they cover is the document's coverage of it. Passages made from one mould share most of
-their words with an item but have other words where the item has its own, so between its first and last
-word the chain must cover a share of the item's specific words: those that few items have. What the
+A document and an item are compared as words in one plain form. Seeds are the pairs of neighbouring
+words they share: an item whose words in shared pairs are not more than the threshold cannot be covered
+beyond it, so this bound loses none. The others are tiled: Karp-Rabin hashes of the words not yet marked
+are run at falling lengths, and the longest common runs are marked first, no word twice. The share of
+the item under tiles is its coverage in any order; the tiles that stand in the item's order in the
+document, chained by dynamic programming, give its coverage in order. Passages made from one mould share
+most of their words with an item but have other words where the item has its own, so between its first and
+last word the tiles must cover a share of the item's specific words: those that few items have. What the
 document breaks off doesn't count against it.
+
+Items go to the workers in blocks of bounded size, each against the whole corpus; a usual evaluation set
+is one block.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections import defaultdict
 from typing import Iterator
 
@@ -23,14 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarazu.llm.plain_text import plain
-from tarazu.session import spread
+from tarazu.session import cut, spread
 
 THRESHOLD = 0.5  # share of the item's words, to be exceeded
-MIN_RUN = 2  # least words of a tile
-LONG_RUN = 3  # a pair has one tile of so many words at least
-SPECIFIC = 0.25  # share of the specific words of the stretch of the item that the chain spans, to be reached
-RARE_ITEMS = 0.03  # a word is specific if it stands in one item, or in no larger share of the items
-BROADCAST_ITEMS = 20_000  # evaluation sets beyond this are joined by their seeds instead of being shipped
+MIN_RUN = 2  # least words of a tile; an item of one word is its own tile
+FIRST_RUN = 16  # length at which the search for runs begins
+SPECIFIC = 0.25  # share of the specific words of the stretch of the item that the tiles span, to be reached
+RARE_ITEMS = 0.03  # a word is specific if it stands in one item, or in no larger share of the items' texts
+BLOCK_BYTES = 8 << 20  # bytes of item texts that go to the workers at a time
 
 _BASE, _MOD = 1_000_003, (1 << 61) - 1
 _WORD = re.compile(r"(?:[^\W_]|[ऀ-ःऺ-ॏ॑-ॣॱ-ॿ])+")
@@ -49,18 +54,37 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall(_NUMBER.sub("", text))
 
 
-def _grams(ids: list[int], n: int) -> list[int]:
-    """Karp-Rabin hashes of the runs of n words."""
-    if len(ids) < n:
-        return []
-    top, h = pow(_BASE, n - 1, _MOD), 0
-    for x in ids[:n]:
-        h = (h * _BASE + x + 2) % _MOD
-    out = [h]
-    for i in range(n, len(ids)):
-        h = ((h - (ids[i - n] + 2) * top) * _BASE + ids[i] + 2) % _MOD
-        out.append(h)
-    return out
+def _runs(item: list[int], doc: list[int], used_i: bytearray, used_j: bytearray, size: int) -> list[tuple[int, int, int]]:
+    """The longest common runs of unmarked words, of size words or more: Karp-Rabin hashes roll over both texts."""
+
+    def hashes(seq: list[int], used: bytearray) -> list[tuple[int, int]]:
+        """(place, hash) of each window of size words without a mark or a word (-1) the item lacks."""
+        out, h, n, top = [], 0, 0, pow(_BASE, size - 1, _MOD)
+        for k, x in enumerate(seq):
+            if x < 0 or used[k]:
+                h = n = 0
+                continue
+            if n >= size:
+                h = (h - (seq[k - size] + 2) * top) % _MOD
+            h = (h * _BASE + x + 2) % _MOD
+            n += 1
+            if n >= size:
+                out.append((k - size + 1, h))
+        return out
+
+    at: dict[int, list[int]] = defaultdict(list)
+    for i, h in hashes(item, used_i):
+        at[h].append(i)
+    runs = []
+    for j, h in hashes(doc, used_j):
+        for i in at.get(h, ()):
+            if i and j and item[i - 1] == doc[j - 1] and not used_i[i - 1] and not used_j[j - 1] or item[i : i + size] != doc[j : j + size]:
+                continue  # begins earlier, or a chance collision
+            n = size
+            while i + n < len(item) and j + n < len(doc) and item[i + n] == doc[j + n] and not used_i[i + n] and not used_j[j + n]:
+                n += 1
+            runs.append((i, j, n))
+    return runs
 
 
 def tiles(item: list[int], doc: list[int], least: int = MIN_RUN) -> list[tuple[int, int, int]]:
@@ -68,41 +92,29 @@ def tiles(item: list[int], doc: list[int], least: int = MIN_RUN) -> list[tuple[i
 
     Words of the document that the item lacks are negative and match nothing.
     """
-    seeds: dict[int, list[int]] = defaultdict(list)
-    for i, h in enumerate(_grams(item, least)):
-        seeds[h].append(i)
-    runs = []
-    for j, h in enumerate(_grams(doc, least)):
-        for i in seeds.get(h, ()):
-            if i and j and item[i - 1] == doc[j - 1] or item[i : i + least] != doc[j : j + least]:
-                continue  # begins earlier, or a chance collision
-            n = least
-            while i + n < len(item) and j + n < len(doc) and item[i + n] == doc[j + n]:
-                n += 1
-            runs.append((i, j, n))
     used_i, used_j, out = bytearray(len(item)), bytearray(len(doc)), []
-    by_size: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for i, j, n in runs:
-        by_size[n].append((i, j))
-    size = max(by_size, default=0)
-    while size >= least:
-        for i, j in sorted(by_size.pop(size, ())):
-            free = [k for k in range(size) if not used_i[i + k] and not used_j[j + k]]
-            if len(free) == size:
-                out.append((i, j, size))
-                used_i[i : i + size] = used_j[j : j + size] = b"\1" * size
-                continue
-            start = prev = None  # what earlier tiles left of the run comes up again at its own length
-            for k in [*free, size + 9]:
-                if start is None:
-                    start = k
-                elif k != prev + 1:
-                    if prev - start + 1 >= least:
-                        by_size[prev - start + 1].append((i + start, j + start))
-                    start = k
-                prev = k
-        size = max((s for s in by_size if s < size), default=0)
-    return out
+    size = max(least, min(FIRST_RUN, len(item), len(doc)))
+    while True:
+        by_size: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for i, j, n in _runs(item, doc, used_i, used_j, size):
+            by_size[n].append((i, j))
+        while by_size:
+            n = max(by_size)
+            for i, j in sorted(by_size.pop(n)):
+                start = None
+                for k in range(n + 1):  # what earlier tiles left of the run comes up again at its own length
+                    if k < n and not used_i[i + k] and not used_j[j + k]:
+                        start = k if start is None else start
+                        continue
+                    if start is not None and k - start == n:
+                        out.append((i, j, n))
+                        used_i[i : i + n] = used_j[j : j + n] = b"\1" * n
+                    elif start is not None and k - start >= size:
+                        by_size[k - start].append((i + start, j + start))
+                    start = None
+        if size == least:
+            return out
+        size = max(least, size // 2)
 
 
 def chain(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -121,121 +133,133 @@ def chain(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     return out[::-1]
 
 
-def rare_limit(n_items: int) -> int:
-    return max(1, int(RARE_ITEMS * n_items))
+def rare_limit(n_texts: int) -> int:
+    return max(1, int(RARE_ITEMS * n_texts))
 
 
 class Items:
-    """The evaluation items as word ids, with what bounds a document's coverage of each."""
+    """Evaluation items as word ids, with the places of their pairs of words."""
 
-    def __init__(self, rows: list[tuple[int, str | None]], specific: list[list[str]] | None = None):
-        """specific: the specific words of each row; by default they are taken from the rows."""
-        cut = [(item_id, words(text), k) for k, (item_id, text) in enumerate(rows)]
-        cut = [c for c in cut if c[1]]
-        self.ids = [c[0] for c in cut]
+    def __init__(self, rows: list[tuple[list[str], list[str]]]):
+        """rows: the words of each item, at least one, and its specific words."""
         self.vocab: dict[str, int] = {}
-        self.seqs = [[self.vocab.setdefault(w, len(self.vocab)) for w in ws] for _, ws, _ in cut]
-        if specific is None:
-            count: dict[int, int] = defaultdict(int)
-            for seq in self.seqs:
-                for w in set(seq):
-                    count[w] += 1
-            limit = rare_limit(len(rows))
-            self.own = [{w for w in seq if count[w] <= limit} for seq in self.seqs]
-        else:
-            self.own = [{self.vocab[w] for w in specific[k] if w in self.vocab} for _, _, k in cut]
+        self.seqs = [[self.vocab.setdefault(w, len(self.vocab)) for w in ws] for ws, _ in rows]
+        self.own = [{self.vocab[w] for w in own if w in self.vocab} for _, own in rows]
         self.sizes = np.array([len(s) for s in self.seqs], np.int64)
-        posts: dict[int, dict[int, int]] = defaultdict(lambda: defaultdict(int))
-        for k, seq in enumerate(self.seqs):
-            for w in seq:
-                posts[w][k] += 1
-        self.posts = {w: (np.fromiter(p, np.int64, len(p)), np.array(list(p.values()), np.int64)) for w, p in posts.items()}
-        self.seeds: dict[int, list[int]] = defaultdict(list)
-        for k, seq in enumerate(self.seqs):
-            for h in set(_grams(seq, LONG_RUN)):
-                self.seeds[h].append(k)
-
-    def found(self, text: str | None, threshold: float = THRESHOLD) -> list[tuple[int, float]]:
-        """(item_id, coverage) of the items of which the text holds more than threshold."""
-        doc = [self.vocab.get(w, -1) for w in words(text)]
-        seen = {w for w in doc if w >= 0}
-        if not seen:
-            return []
-        shared = np.zeros(len(self.seqs), np.int64)
-        for w in seen:
-            k, n = self.posts[w]
-            shared[k] += n
-        able = shared > threshold * self.sizes
-        if not able.any():
-            return []
-        long = {k for h in set(_grams(doc, LONG_RUN)) for k in self.seeds.get(h, ()) if able[k]}
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        flat = np.array([x for s in self.seqs for x in s], np.int64)
+        within = np.ones(len(flat), bool)
+        within[(self.starts + self.sizes - 1)[self.sizes > 0]] = False
+        at = np.flatnonzero(within)
+        pairs = flat[at] * len(self.vocab) + flat[at + 1]
+        order = np.argsort(pairs, kind="stable")
+        self.places = at[order]  # of the pairs, in the order of their numbers
+        self.pairs, self.first = np.unique(pairs[order], return_index=True)
+        self.last = np.append(self.first[1:], len(order))
+        self.single = np.flatnonzero(self.sizes == 1)
+        self.n_words = len(flat)
+
+    def found(self, text: str | None, threshold: float = THRESHOLD) -> list[tuple[int, float, float, bool]]:
+        """(row, coverage in order, coverage in any order, whether the one in order holds) of the items of which the text holds more than threshold."""
+        get = self.vocab.get
+        doc = [get(w, -1) for w in words(text)]
+        ids = np.array(doc, np.int64)
+        known = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+        able = []
+        if len(known) and len(self.pairs):
+            seen = np.unique(ids[known] * len(self.vocab) + ids[known + 1])
+            k = np.searchsorted(self.pairs, seen)
+            k = k[(k < len(self.pairs)) & (self.pairs[np.minimum(k, len(self.pairs) - 1)] == seen)]
+            if len(k):
+                held = np.zeros(self.n_words, bool)
+                for a, b in zip(self.first[k], self.last[k]):
+                    at = self.places[a:b]
+                    held[at] = held[at + 1] = True
+                able = np.flatnonzero(np.add.reduceat(held, self.starts, dtype=np.int64) > threshold * self.sizes).tolist()
+        if len(self.single):
+            there = set(doc)
+            able += [k for k in self.single.tolist() if self.seqs[k][0] in there]
         out = []
-        for k in sorted(long):
+        for k in sorted(able):
             seq = self.seqs[k]
-            at = [p for i, _, n in chain(tiles(seq, doc)) for p in range(i, i + n)]
-            cover = len(at) / len(seq)
-            if cover <= threshold:
-                continue
-            spanned = sum(w in self.own[k] for w in seq[at[0] : at[-1] + 1])
-            if sum(seq[p] in self.own[k] for p in at) >= SPECIFIC * spanned:
-                out.append((self.ids[k], cover))
+            inside = set(seq)
+            tiled = tiles(seq, [x if x in inside else -1 for x in doc], min(MIN_RUN, len(seq)))
+            ordered, anyhow = self._judge(k, chain(tiled)), self._judge(k, tiled)
+            in_order = ordered[0] > threshold and ordered[1]
+            if in_order or anyhow[0] > threshold and anyhow[1]:
+                out.append((k, ordered[0], anyhow[0], in_order))
         return out
 
-
-FOUND = "doc_id long, item_id long, coverage double"
-
-
-def _scan(rows: list[tuple[int, str | None]], threshold: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        items = Items(rows)
-        for batch in batches:
-            hits = [(d, i, c) for d, t in zip(batch["doc_id"], batch["text"]) if isinstance(t, str) for i, c in items.found(t, threshold)]
-            yield pd.DataFrame(hits, columns=["doc_id", "item_id", "coverage"]).astype({"doc_id": "int64", "item_id": "int64", "coverage": "float64"})
-
-    return run
+    def _judge(self, k: int, some: list[tuple[int, int, int]]) -> tuple[float, bool]:
+        """Coverage by some tiles, and whether enough specific words of the stretch they span are under them."""
+        seq = self.seqs[k]
+        at = sorted(p for i, _, n in some for p in range(i, i + n))
+        if not at:
+            return 0.0, False
+        spanned = sum(w in self.own[k] for w in seq[at[0] : at[-1] + 1])
+        return len(at) / len(seq), sum(seq[p] in self.own[k] for p in at) >= SPECIFIC * spanned
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _words_udf(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: sorted(set(words(t))))
+    return text.map(words)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _seed_udf(text: pd.Series) -> pd.Series:
-    def one(t: str | None) -> list[str]:
-        ws = words(t)
-        return sorted({" ".join(ws[i : i + LONG_RUN]) for i in range(len(ws) - LONG_RUN + 1)})
+def read_items(items: DataFrame) -> DataFrame:
+    """item_id, n, ws, own: each distinct item with words, how often it stands there, its words and its specific ones."""
+    each = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull()).groupBy("item_id", "text").agg(F.count(F.lit(1)).alias("n"))
+    each = cut(each.select("item_id", "n", _words_udf("text").alias("ws")).where(F.size("ws") > 0).withColumn("h", F.xxhash64(F.array_join("ws", " "))))
+    n_texts = each.select("h").distinct().count()
+    told = each.select("item_id", "h", F.explode(F.array_distinct("ws")).alias("w"))
+    rare = told.groupBy("w").agg(F.count_distinct("h").alias("k")).where(F.col("k") <= rare_limit(n_texts)).select("w")
+    own = told.select("h", "w").distinct().join(rare, "w").groupBy("h").agg(F.collect_list("w").alias("own"))
+    return each.join(own, "h", "left").select("item_id", "n", "ws", F.coalesce("own", F.array().cast("array<string>")).alias("own"))
 
-    return text.map(one)
 
+_BUILT: dict[str, Items] = {}  # the worker's index of the block at hand
 
-def _cover_udf(threshold: float):
-    @F.pandas_udf(T.DoubleType())
-    def cover(doc: pd.Series, item: pd.Series, own: pd.Series) -> pd.Series:
-        hits = [Items([(0, i)], [list(o)]).found(d, threshold) for d, i, o in zip(doc, item, own)]
-        return pd.Series([h[0][1] if h else None for h in hits], dtype="float64")
 
-    return cover
+def _index(shared) -> Items:
+    if shared.value[0] not in _BUILT:
+        _BUILT.clear()
+        _BUILT[shared.value[0]] = Items(shared.value[1])
+    return _BUILT[shared.value[0]]
 
 
-def find_leaks(documents: DataFrame, items: DataFrame, threshold: float = THRESHOLD, broadcast_items: int = BROADCAST_ITEMS) -> DataFrame:
-    """doc_id, item_id, coverage: documents (doc_id, text) holding more than threshold of an item (item_id, text) in its order.
+def find_leaks(documents: DataFrame, items: DataFrame, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, item_id, coverage, tiled, in_order: documents (doc_id, text) holding more than threshold of an item (item_id, text).
 
-    Null, empty and wordless texts on either side yield no row; repeated documents and items yield
-    theirs. An evaluation set of up to broadcast_items items is shipped to the workers; a larger one
-    is joined with the documents by its runs of LONG_RUN words, with the same result.
+    coverage is the share of the item's words held in its order, tiled that in any order (a passage moved
+    about), in_order whether the first one fulfils the threshold. Null, empty and wordless texts on either
+    side yield no row; repeated documents and items yield theirs each time, null ids come out null. Empty
+    tables give no row. The evaluation set is taken in as many blocks of about block_bytes as it needs.
     """
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.length("text") > 0)
-    held = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("item_text"))
-    some = held.limit(broadcast_items + 1).collect()
-    if len(some) <= broadcast_items:
-        return spread(docs).mapInPandas(_scan([(r.item_id, r.item_text) for r in some], threshold), FOUND)
-    limit = rare_limit(held.count())
-    each = held.select("item_id", "item_text", F.explode(_words_udf("item_text")).alias("w"))
-    rare = each.groupBy("w").count().where(F.col("count") <= limit).select("w", F.lit(True).alias("rare"))
-    owned = each.join(rare, "w", "left").groupBy("item_id", "item_text").agg(F.collect_list(F.when(F.col("rare"), F.col("w"))).alias("own"))
-    seeds = owned.select("item_id", "item_text", F.explode(_seed_udf("item_text")).alias("seed"))
-    pairs = spread(docs).select("doc_id", "text", F.explode(_seed_udf("text")).alias("seed")).select("doc_id", F.xxhash64("text").alias("h"), "seed").join(seeds.select("item_id", "item_text", "seed"), "seed")
-    pairs = pairs.select("doc_id", "h", "item_id", "item_text").distinct()
-    both = pairs.join(docs.withColumn("h", F.xxhash64("text")), ["doc_id", "h"]).join(owned, ["item_id", "item_text"])
-    return both.select("doc_id", "item_id", _cover_udf(threshold)("text", "item_text", "own").alias("coverage")).where(F.col("coverage").isNotNull())
+    docs = documents.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text").where(F.length("text") > 0)
+    held = cut(read_items(items))
+    size = held.agg(F.sum(F.length(F.array_join("ws", " ")) * 3).alias("b")).first().b or 0
+    n_blocks = max(1, -(-size // block_bytes))
+    blocked = held.withColumn("block", F.pmod(F.xxhash64("item_id", "ws"), F.lit(n_blocks)))
+    sc = documents.sparkSession.sparkContext
+    out = None
+    for block in range(n_blocks):
+        rows = blocked.where(F.col("block") == block).orderBy("item_id", "ws").collect()  # block_bytes, or the one text that is longer
+        if not rows:
+            continue
+        shared = sc.broadcast((uuid.uuid4().hex, [(list(r.ws), list(r.own)) for r in rows]))
+        ids = [(r.item_id, r.n) for r in rows]
+        found = spread(docs, "doc_id").mapInPandas(_scan(shared, threshold), "doc_id string, k int, coverage double, tiled double, in_order boolean")
+        named = documents.sparkSession.createDataFrame([(k, *x) for k, x in enumerate(ids)], "k int, item_id long, n long")
+        done = cut(found.join(F.broadcast(named), "k").select(F.col("doc_id").cast("long").alias("doc_id"), "item_id", "coverage", "tiled", "in_order", F.explode(F.array_repeat(F.lit(0), F.col("n").cast("int")))).drop("col"))
+        shared.unpersist()
+        out = done if out is None else out.unionByName(done)
+    return out if out is not None else documents.sparkSession.createDataFrame([], "doc_id long, item_id long, coverage double, tiled double, in_order boolean")
+
+
+def _scan(shared, threshold: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index = _index(shared)
+        for batch in batches:
+            hits = [(d, *hit) for d, t in zip(batch["doc_id"], batch["text"]) for hit in index.found(t, threshold)]
+            yield pd.DataFrame(hits, columns=["doc_id", "k", "coverage", "tiled", "in_order"]).astype({"k": "int32", "coverage": "float64", "tiled": "float64", "in_order": "bool"})
+
+    return run

@@ -37,8 +37,14 @@ TO_LATIN = CYRILLIC | GREEK
 _LOOKALIKE = re.compile("[" + "".join(TO_LATIN) + "]")
 _SETS = {"cyrillic": {v: k for k, v in CYRILLIC.items()}, "greek": {v: k for k, v in GREEK.items()}}
 
-#: Java pattern of every text that may not be plain (a superset): anything beside ASCII, Latin-1 letters and plain Devanagari.
-SUSPECT = "[^\\x20-\\x7EÀ-ÿऀ-ॗॠ-ॿ]|" + "|".join(SEQUENCES) + "|[नरळ]़"
+#: Signs of Devanagari that composition puts in the order of their classes: nukta, virama, the accent below, those above.
+_ORDERED = ["़", "्", "॒", "॑॓॔"]
+_DISORDER = "|".join(f"[{_ORDERED[i]}][{''.join(_ORDERED[:i])}]" for i in range(1, len(_ORDERED)))
+_MARKS, _NAGARI = "[ऀ-ःऺ-़ा-ॏ॑-ॗॢॣ]", "[ऄ-हऽॐक़-ॡॱ-ॿ]"
+_LATIN1 = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+#: Java and Python pattern of every text that may not be plain (a superset): anything beside ASCII, Latin-1 letters and plain
+#: Devanagari, signs that compose or change places, and letters of both scripts in one word.
+SUSPECT = f"[^\\x20-\\x7EÀ-ÿऀ-ॗॠ-ॿ]|{'|'.join(SEQUENCES)}|[नरळ]़|{_DISORDER}|{_LATIN1}{_MARKS}*{_NAGARI}|{_NAGARI}{_MARKS}*{_LATIN1}"
 
 
 def fold(text: str | None, lines: bool = False) -> str | None:

@@ -45,16 +45,19 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text")
+    return encode(spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id"), "doc_id", "text")
+
+
+def _p7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
 def p7_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    leaks = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
-    return leaks.withColumn("coverage", F.round("coverage", 6))
+    return _p7(spark, sf_dir).withColumns({c: F.round(c, 6) for c in ("coverage", "tiled")})
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p7_coverage(spark, sf_dir).select("doc_id", "item_id")
+    return _p7(spark, sf_dir).where("in_order").select("doc_id", "item_id")
 
 
 def p8_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

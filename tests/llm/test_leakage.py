@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 from tarazu.llm.leakage import Items, chain, find_leaks, tiles, words
 
@@ -45,15 +46,45 @@ ROWS = [
 ]
 
 
-def test_operator_both_ways(spark):
-    docs = spark.createDataFrame(ROWS, "doc_id long, text string, item_id string")
-    items = spark.createDataFrame([(5, ITEM, "q"), (6, None, "q"), (7, "", "q")], "item_id long, text string, doc_id string")
-    for limit in (100, 1):
-        got = sorted((r.doc_id, r.item_id) for r in find_leaks(docs, items, broadcast_items=limit).collect())
-        assert got == [(1, 5), (1, 5), (2, 5), (8, 5), (9, 5), (10, 5)] or got == [(1, 5), (2, 5), (8, 5), (9, 5), (10, 5)] + [(1, 5)] or sorted(set(got)) == [(1, 5), (2, 5), (8, 5), (9, 5), (10, 5)], (limit, got)
+SHORT = [(20, "alpha beta", "q"), (21, "omega", "q"), (22, " ".join(f"w{i}" for i in range(20)), "q")]
+
+
+def test_operator_in_one_block_and_many(spark):
+    scattered = " ".join("changed" if i % 3 == 2 else f"w{i}" for i in range(20))  # 14 of 20 words, two at a time
+    rows = [*ROWS, (11, "so alpha beta went", "d"), (12, "OMEGA", "d"), (13, scattered, "d"), (14, " ".join(f"w{i}" for i in (*range(10, 16), *range(4, 10))), "d"), (None, ITEM, "d"), (2**60 + 1, ITEM, "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, item_id string")
+    items = spark.createDataFrame([(5, ITEM, "q"), (6, None, "q"), (7, "", "q"), (8, "...", "q"), *SHORT, (5, ITEM, "q"), (9, ITEM, "q"), (None, "alpha beta", "q")], "item_id long, text string, doc_id string")
+    of_item = [(d, i) for d in (1, 1, 2, 8, 9, 10, None, 2**60 + 1) for i in (5, 5, 9)]
+    want = Counter([*of_item, (11, 20), (11, None), (12, 21), (13, 22)])
+    for size in (1 << 20, 200):
+        got = find_leaks(docs, items, block_bytes=size).collect()
+        assert Counter((r.doc_id, r.item_id) for r in got if r.in_order) == want, size
+        moved = next(r for r in got if r.doc_id == 14)
+        assert not moved.in_order and (round(moved.coverage, 2), round(moved.tiled, 2)) == (0.3, 0.6)
     assert find_leaks(docs.limit(0), items).count() == 0 and find_leaks(docs, items.limit(0)).count() == 0
 
 
+def brute_found(rows, text):
+    """Items by the definition: tiles of two words, the best chain, no bounds and no seeds."""
+    out = []
+    doc = words(text)
+    for k, (ws, own) in enumerate(rows):
+        t = brute_tiles(ws, doc, min(2, len(ws)))
+        at = sorted(p for i, _, n in chain(t) for p in range(i, i + n))
+        if len(at) > 0.5 * len(ws) and sum(ws[p] in own for p in at) >= 0.25 * sum(w in own for w in ws[at[0] : at[-1] + 1]):
+            out.append(k)
+    return out
+
+
+def test_bounds_lose_nothing():
+    rng = random.Random(3)
+    vocab = [f"v{i}" for i in range(9)]
+    for _ in range(300):
+        rows = [([rng.choice(vocab) for _ in range(rng.randrange(1, 12))], rng.sample(vocab, 4)) for _ in range(4)]
+        text = " ".join(rng.choice([*vocab, "zz"]) for _ in range(rng.randrange(0, 25)))
+        assert [k for k, *_, ok in Items(rows).found(text) if ok] == brute_found(rows, text)
+
+
 def test_words():
     assert words("Rs. 2,020,442 केशार्‍याल (२०)!") == ["rs", "2020442", "केशार्याल", "20"]
     assert words(None) == words("... ।") == []
@@ -68,5 +99,5 @@ def test_moulds_are_no_leaks(spark):
 
 def test_half_without_the_rare_words_is_a_leak():
     shared = "years later the clerk was puzzled to learn that the whole store had vanished from the shed"
-    rows = [(i, f"{shared} while name{i} of place{i} counted crate{i} near river{i} with child{i}") for i in range(60)]
-    assert [i for i, _ in Items(rows).found(f"before {shared} and nothing more")] == list(range(60))
+    rows = [(words(f"{shared} while name{i} of place{i} counted crate{i} near river{i} with child{i}"), [f"{w}{i}" for w in ("name", "place", "crate", "river", "child")]) for i in range(60)]
+    assert [k for k, *_, ok in Items(rows).found(f"before {shared} and nothing more") if ok] == list(range(60))
