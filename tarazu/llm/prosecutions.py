@@ -2,7 +2,7 @@
 
 Candidates share two of a defendant's name codes; one of them beside a word with the first letter of
 the other, in months near each other or, of an undated record, with the offence; one of them with the
-place of the office; the place with offence and month; or the place with an amount, as coarsely as
+place of the office, of an undated record; the place with offence and month; or the place with an amount, as coarsely as
 amounts are compared. Every key joins two attributes at least, so that no key grows with the calendar
 or the vocabulary alone.
 Each candidate gets a vector of similarities (name, date, office, offence, amount) of few levels, so
@@ -423,7 +423,7 @@ def candidates(c: DataFrame, r: DataFrame) -> DataFrame:
     pairs = F.transform(F.filter("after", lambda x: (x != "") & (x != F.col("t"))), lambda x: _key("N", F.least("t", x), F.greatest("t", x)))
     letters = F.filter("letters", lambda x: x != "")
     near = F.when(F.col("month").isNotNull(), F.transform(letters, lambda x: _key("M", F.col("month").cast("string"), F.col("t"), x))).when(F.col("offence").isNotNull(), F.transform(letters, lambda x: _key("F", F.col("offence"), F.col("t"), x))).otherwise(F.array().cast("array<string>"))
-    there = F.transform("places", lambda p: _key("O", F.col("t"), p))
+    there = F.when(F.col("month").isNull(), F.transform("places", lambda p: _key("O", F.col("t"), p))).otherwise(F.array().cast("array<string>"))
     right = spots.select(*_RECORD, hashed(F.concat(pairs, near, there))).unionByName(r.select(*_RECORD, hashed(F.col("keys"))))
     return left.join(right, "key").select("case_key", *_RECORD).distinct()
 

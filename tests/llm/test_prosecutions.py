@@ -18,7 +18,7 @@ def tables(spark):
     cases = [(f"080-CR-{i:04}", "special", "भ्रष्टाचार ( घुस )", f"{o} वन कार्यालय भ्रष्टाचार ( घुस ) बिगो रु. {i + 1},२३४,५६७", n, f"2080-0{i + 1}-10", date(2023, 5, 1), T, T, "x") for i, (o, n) in enumerate(zip(OFF, NAMES))]
     cases.append(("080-OA-0001", "special", "पुनरावेदन", None, NAMES[0], "2080-01-10", None, T, T, "x"))
     press = [(i, f"२०८०/{i + 1}/१२", f"{o} वन कार्यालय का {n} विरुद्ध घुस मुद्दा", f"{o} वन कार्यालय ले घुस लिएको कसूरमा {n} समेतलाई प्रतिवादी बनाई रु {i + 1}234567 बिगो सहित 2080-0{i + 1}-10 मा मुद्दा दायर", "q") for i, (o, n) in enumerate(zip(OFF, NAMES))]
-    press += [(90, None, None, None, "q"), (91, "2080-01-11", "कटार वन कार्यालय मा कार्यक्रम", "", "q"), (0, "२०८०/१/१२", press[0][2], None, "q"), (None, None, "x", "x", "q"), (92, "2078-01-10", f"{NAMES[1]} विरुद्ध घुस मुद्दा", f"झटार वन कार्यालय ले घुस कसूरमा {NAMES[1]} समेतलाई 2078-01-10 मा मुद्दा दायर", "q")]
+    press += [(90, None, None, None, "q"), (91, "2080-06-11", "कटार वन कार्यालय मा कार्यक्रम", "", "q"), (0, "२०८०/१/१२", press[0][2], None, "q"), (None, None, "x", "x", "q"), (92, "2078-01-10", f"{NAMES[1]} विरुद्ध घुस मुद्दा", f"झटार वन कार्यालय ले घुस कसूरमा {NAMES[1]} समेतलाई 2078-01-10 मा मुद्दा दायर", "q")]
     sheets = [(i, None, f"नेपाल सरकार वि. {n} (घुस लिएको)", f"2080-0{i + 1}-11", None) for i, n in enumerate(NAMES)]
     return spark.createDataFrame(cases, CASE), spark.createDataFrame([(1, "080-CR-0000", "special", "defendant", NAMES[0])], ENT), spark.createDataFrame(press, PR), spark.createDataFrame(sheets, CS)
 
