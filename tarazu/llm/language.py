@@ -1,6 +1,6 @@
 """Language of documents and of their segments, by hierarchical discrimination.
 
-A sentence's family (Devanagari or Latin letters) is read from its letters; within the family,
+A sentence's family (Devanagari or Latin letters) is predicted from the counts of its letters; within the family,
 one-versus-one linear support vector machines over hashed character n-grams separate the languages.
 Runs of sentences are then found by a shortest path that pays for every change of language, so that
 single foreign words, headings and page marks make no segment.
@@ -23,7 +23,8 @@ from tarazu.session import spread
 #: languages of each family, in the order of the model's scores
 FAMILIES = {"devanagari": ("ne", "hi", "mai"), "latin": ("en", "ne")}
 LANGUAGES = ("ne", "en", "hi", "mai")
-SAMPLE = 300  # documents per label and family the machines are fitted on, at most
+SAMPLE = 500  # documents per label and family the machines are fitted on, at most
+POOL = 200_000  # documents, picked by the hash of their ids, from which they are taken, about
 SAMPLE_CHARS = 20_000  # longest text taken into the sample
 BITS = 17  # log2 of the hashed features
 ORDERS = (1, 2, 3, 4, 5)  # lengths of the n-grams
@@ -55,39 +56,73 @@ def sentences(text: str) -> list[str]:
     return [p for p in out if p.strip()]
 
 
-def _clean(piece: str) -> str:
-    """What the machines see: words in lower case with single spaces around; no digits, marks or bracketed words."""
-    if "(" in piece or "[" in piece or "<" in piece:
-        piece = _FOREIGN.sub(" ", piece)
-    return " " + " ".join(_WORDS.findall(piece.lower())) + " "
+_LETTER = np.zeros(0x110000, bool)  # letters and the signs of Devanagari, by code
+_LETTER[[c for c in range(0x32400) if chr(c).isalpha() or 0x900 <= c < 0x904 or 0x93A <= c < 0x950 or 0x951 <= c < 0x964 or 0x971 <= c < 0x980]] = True
+_LETTER[0x200D] = True
 
 
-def _features(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed n-grams of all pieces, flat, and the piece each belongs to; none spans two pieces."""
-    joined = "\0".join(pieces) + "\0"
-    codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.uint64)
-    owner = np.cumsum(codes == 0) - (codes == 0)
-    ends = np.append(np.flatnonzero(codes == 0), len(codes))
-    room = ends[np.searchsorted(ends, np.arange(len(codes)))] - np.arange(len(codes))  # symbols left in the piece
-    hashed, owners = [], []
+class Pieces:
+    """Pieces of texts as the machines see them: words in lower case with single spaces around; no digits, marks or bracketed words.
+
+    codes: all pieces in one array, each ended by 0; starts: where they begin; n_words and the letters of both families, per piece.
+    """
+
+    def __init__(self, texts: list[str]):
+        shown = [_FOREIGN.sub(" ", t) if "(" in t or "[" in t or "<" in t else t for t in texts]
+        joined = " " + "\0 ".join([*[t.replace("\0", " ") for t in shown], ""]).lower()
+        codes = np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)[:-1]
+        ends = codes == 0
+        codes = np.where(_LETTER[codes] | ends, codes, 32).astype(np.uint32)
+        # a space before every end, and no two spaces in a row
+        codes = np.insert(codes, np.flatnonzero(ends), 32)
+        blank = codes == 32
+        codes = codes[~(blank & np.append(False, blank[:-1]))]
+        stops = np.flatnonzero(codes == 0)
+        self.codes, self.starts, self.sizes = codes, np.append(0, stops[:-1] + 1)[: len(stops)], np.diff(np.append(-1, stops)) - 1
+        signs = (codes >= 0x900) & (codes < 0x904) | (codes >= 0x93A) & (codes < 0x950) & (codes != 0x93D) | (codes >= 0x951) & (codes < 0x958) | (codes == 0x962) | (codes == 0x963)
+        own = (codes >= 0x900) & (codes < 0x980) & ~signs
+        other = (codes > 32) & ~own & ~signs & (codes != 0x200D)
+        count = lambda x: np.add.reduceat(x, self.starts, dtype=np.int64) if len(stops) else np.zeros(0, np.int64)
+        self.n_words = np.maximum(count(codes == 32) - 1, 0)
+        self.own, self.other = count(own), count(other)
+
+    def family(self) -> np.ndarray:
+        """The family of each piece: 0 Devanagari, 1 Latin, -1 without letters."""
+        return np.where(self.own + self.other == 0, -1, np.where(self.own > self.other, 0, 1))
+
+    def some(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The codes of some pieces, each with its end, and their sizes."""
+        sizes = self.sizes[at] + 1
+        flat = np.repeat(self.starts[at] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        return self.codes[flat], self.sizes[at]
+
+
+def _grams(codes: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """For each order, the hashed n-gram at every place; 1 << BITS where it would pass the end of its piece."""
+    codes = codes.astype(np.uint64)
+    ends = np.cumsum(sizes + 1) - 1
+    room = np.repeat(ends, sizes + 1) - np.arange(len(codes))  # symbols left in the piece
     h = np.zeros(len(codes), np.uint64)
     for n in range(1, max(ORDERS) + 1):
-        h = h * np.uint64(0x9E3779B97F4A7C15)
+        h *= np.uint64(0x9E3779B97F4A7C15)
         h[: len(codes) - n + 1] += codes[n - 1 :] + np.uint64(n)
         if n in ORDERS:
-            ok = room >= n
-            x = h[ok]
-            x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            hashed.append((x >> np.uint64(64 - BITS)).astype(np.int32))
-            owners.append(owner[ok])
-    return np.concatenate(hashed), np.concatenate(owners)
+            x = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            yield np.where(room >= n, (x >> np.uint64(64 - BITS)).astype(np.int32), 1 << BITS)
 
 
-def _mean_scores(pieces: list[str], weights: np.ndarray) -> np.ndarray:
+def _n_grams(sizes: np.ndarray) -> np.ndarray:
+    return sum(np.maximum(sizes - n + 1, 0) for n in ORDERS)
+
+
+def _mean_scores(codes: np.ndarray, sizes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Mean weight of each piece's n-grams, per machine."""
-    feats, owner = _features(pieces)
-    count = np.maximum(np.bincount(owner, minlength=len(pieces)), 1)
-    return np.stack([np.bincount(owner, weights=w[feats], minlength=len(pieces)) / count for w in weights], axis=1)
+    table = np.append(weights, np.zeros((len(weights), 1), weights.dtype), axis=1).T.copy()  # what passes the end weighs nothing
+    total = np.zeros((len(codes), len(weights)), np.float32)
+    for grams in _grams(codes, sizes):
+        total += table[grams]
+    sums = np.add.reduceat(total, np.cumsum(sizes + 1) - sizes - 1, axis=0, dtype=np.float64)
+    return sums / np.maximum(_n_grams(sizes), 1)[:, None]
 
 
 def _fit_pair(feats: list[np.ndarray], y: np.ndarray) -> np.ndarray:
@@ -113,33 +148,17 @@ def _fit_pair(feats: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     return (total / kept).astype(np.float32)
 
 
-def letters(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Devanagari and other letters of each cleaned piece; combining signs don't count."""
-    joined = "\0".join(pieces) + "\0"
-    codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
-    owner = np.cumsum(codes == 0) - (codes == 0)
-    signs = (codes >= 0x900) & (codes < 0x904) | (codes >= 0x93A) & (codes < 0x950) & (codes != 0x93D) | (codes >= 0x951) & (codes < 0x958) | (codes == 0x962) | (codes == 0x963)
-    own = (codes >= 0x900) & (codes < 0x980) & ~signs
-    other = (codes > 32) & ~own & ~signs & (codes != 0x200D)
-    return tuple(np.bincount(owner, weights=w, minlength=len(pieces)).astype(np.int64)[: len(pieces)] for w in (own, other))
-
-
-def families(pieces: list[str]) -> list[str | None]:
-    own, other = letters(pieces)
-    return [None if not a + b else "devanagari" if a > b else "latin" for a, b in zip(own.tolist(), other.tolist())]
-
-
 class Model:
     """Pairwise machines per family."""
 
     def __init__(self, machines: dict[str, np.ndarray]):
         self.machines = machines
 
-    def votes(self, pieces: list[str], fam: str) -> np.ndarray:
+    def votes(self, codes: np.ndarray, sizes: np.ndarray, fam: str) -> np.ndarray:
         """Score per language of the family: mean of its machines' clipped margins."""
         langs, pairs = FAMILIES[fam], list(combinations(range(len(FAMILIES[fam])), 2))
-        margins = np.clip(_mean_scores(pieces, self.machines[fam]), -2, 2)
-        out = np.zeros((len(pieces), len(langs)))
+        margins = np.clip(_mean_scores(codes, sizes, self.machines[fam]), -2, 2)
+        out = np.zeros((len(sizes), len(langs)))
         for m, (a, b) in enumerate(pairs):
             out[:, a] += margins[:, m]
             out[:, b] -= margins[:, m]
@@ -149,35 +168,37 @@ class Model:
 def fit(rows: list[tuple[str, str]]) -> Model:
     """Machines from (label, text) rows; wrong labels are sieved out by fitting again without what they misplace."""
     machines = {}
-    for fam, langs in FAMILIES.items():
-        data = []
-        for label, text in rows:
-            if label in langs:
-                cleaned = [_clean(s) for s in sentences(fold(text, lines=True))]
-                data += [(langs.index(label), c) for c, f in zip(cleaned, families(cleaned)) if f == fam and len(c.split()) >= LEAST_WORDS]
-        labels = np.array([d[0] for d in data], np.int64)
-        pieces = [d[1] for d in data]
+    cut = [(label, s) for label, text in rows for s in sentences(fold(text, lines=True))]
+    pieces = Pieces([s for _, s in cut])
+    family = pieces.family() if cut else np.zeros(0, int)
+    for f, (fam, langs) in enumerate(FAMILIES.items()):
+        at = np.array([k for k, (label, _) in enumerate(cut) if label in langs and family[k] == f and pieces.n_words[k] >= LEAST_WORDS], np.int64)
         pairs = list(combinations(range(len(langs)), 2))
-        if not pieces:
+        if not len(at):
             machines[fam] = np.zeros((len(pairs), 1 << BITS), np.float32)
             continue
-        flat, owner = _features(pieces)
-        order = np.argsort(owner, kind="stable")
-        feats = np.split(flat[order], np.cumsum(np.bincount(owner, minlength=len(pieces)))[:-1])
-        keep = np.ones(len(pieces), bool)
+        labels = np.array([langs.index(cut[k][0]) for k in at], np.int64)
+        codes, sizes = pieces.some(at)
+        begins = np.cumsum(sizes + 1) - sizes - 1
+        grams = list(_grams(codes, sizes))
+        feats = [np.concatenate([g[b : b + max(n - k + 1, 0)] for k, g in zip(ORDERS, grams)]) for b, n in zip(begins, sizes)]
+        keep = np.ones(len(at), bool)
         for _ in range(ROUNDS):
             ws = []
             for a, b in pairs:
                 some = np.flatnonzero(keep & ((labels == a) | (labels == b)))
                 ws.append(_fit_pair([feats[k] for k in some], np.where(labels[some] == a, 1, -1)))
             machines[fam] = np.stack(ws)
-            keep = Model(machines).votes(pieces, fam).argmax(1) == labels
+            keep = Model(machines).votes(codes, sizes, fam).argmax(1) == labels
     return Model(machines)
 
 
 def _path(emit: np.ndarray) -> np.ndarray:
     """States of the best path: most evidence less SWITCH per change."""
     n, k = emit.shape
+    tops = emit.argmax(1)[emit.any(1)]
+    if len(tops) and (tops == tops[0]).all():  # all that speaks says the same
+        return np.full(n, tops[0])
     best, back = emit[0].copy(), np.zeros((n, k), np.int64)
     for t in range(1, n):
         jump = best.argmax()
@@ -201,15 +222,16 @@ def label_texts(model: Model, texts: list[str | None]) -> list[list[tuple[int, s
     """(seg_no, lang, confidence, letters) of each text: 0 for the document, 1.. for its segments; [] without letters."""
     cut = [sentences(fold(t, lines=True)) if t else [] for t in texts]
     flat = [s for ss in cut for s in ss]
+    if not flat:
+        return [[] for _ in texts]
+    pieces = Pieces(flat)
     emit, weight = np.zeros((len(flat), len(LANGUAGES))), np.zeros(len(flat))
-    cleaned = [_clean(s) for s in flat]
-    fams, size_of = families(cleaned), sum(letters(cleaned))
-    sizes = [max(c.count(" ") - 1, 0) if c.strip() else 0 for c in cleaned]
-    for fam, langs in FAMILIES.items():
-        at = [k for k, f in enumerate(fams) if f == fam and sizes[k]]
-        if at:
-            votes = model.votes([cleaned[k] for k in at], fam)
-            w = np.sqrt([sizes[k] for k in at])
+    family, size_of, sizes = pieces.family(), pieces.own + pieces.other, pieces.n_words
+    for f, (fam, langs) in enumerate(FAMILIES.items()):
+        at = np.flatnonzero((family == f) & (sizes > 0))
+        if len(at):
+            votes = model.votes(*pieces.some(at), fam)
+            w = np.sqrt(sizes[at])
             emit[at] = -2.0 * w[:, None]  # a language of another family
             for j, lang in enumerate(langs):
                 emit[at, LANGUAGES.index(lang)] = votes[:, j] * w
@@ -217,7 +239,7 @@ def label_texts(model: Model, texts: list[str | None]) -> list[list[tuple[int, s
     out, lo = [], 0
     for ss in cut:
         hi = lo + len(ss)
-        e, n, size, wt = emit[lo:hi], size_of[lo:hi], np.array(sizes[lo:hi]), weight[lo:hi]
+        e, n, size, wt = emit[lo:hi], size_of[lo:hi], sizes[lo:hi], weight[lo:hi]
         lo = hi
         if not n.any():
             out.append([])
@@ -238,26 +260,33 @@ def label_texts(model: Model, texts: list[str | None]) -> list[list[tuple[int, s
         total = chars.argmax()
         mean = lambda ks: e[ks].sum(0) / max(wt[ks].sum(), 1e-9)
         own = [k for k, s in enumerate(states) if s == total]
+        if len(runs) == 1:
+            sure = _judge(mean(own))
+            out.append([(k, LANGUAGES[total], sure, int(n.sum())) for k in (0, 1)])
+            continue
         rows = [(0, LANGUAGES[total], _judge(mean(own)), int(n.sum()))]
         out.append(rows + [(i + 1, LANGUAGES[s], _judge(mean(ks)), int(n[ks].sum())) for i, (s, ks) in enumerate(runs)])
     return out
 
 
-def training_rows(documents: DataFrame, per_stratum: int = SAMPLE) -> list[tuple[str, str]]:
-    """(label, text) of at most per_stratum documents for each label and family, picked by the hash of their ids."""
+def training_rows(documents: DataFrame, per_stratum: int = SAMPLE, pool: int = POOL) -> list[tuple[str, str]]:
+    """(label, text) of at most per_stratum labelled documents for each label and family, picked by the hash of their ids.
+
+    They are taken from about pool documents under a threshold of that hash, so that the scan that reads the texts
+    brings no more to the ranking, however large the corpus; texts of SAMPLE_CHARS or more are left out.
+    """
     label = F.lower(F.trim("lang"))
     latin = F.octet_length("text") < 1.6 * F.length("text")  # Devanagari letters take three bytes
-    some = documents.select("doc_id", label.alias("label"), "text", latin.alias("latin")).where(label.isin(*LANGUAGES) & F.length("text").between(40, SAMPLE_CHARS))
-    # the id and its hash alone are ranked, so no text is moved for it; ties in the hash go by the id
-    ranked = some.select("doc_id", "label", "latin").withColumn("rank", F.row_number().over(Window.partitionBy("label", "latin", F.pmod(F.xxhash64("doc_id"), F.lit(64))).orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")))
-    first = ranked.where(F.col("rank") <= per_stratum)
-    picked = first.withColumn("rank", F.row_number().over(Window.partitionBy("label", "latin").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id"))).where(F.col("rank") <= per_stratum)
-    ids = [r.doc_id for r in picked.select("doc_id").distinct().collect()]  # bounded: labels x families x per_stratum
-    rows = some.where(F.col("doc_id").isin(ids)).orderBy("doc_id", "text").limit(4 * len(ids) + 1).collect()
-    return [(r.label, r.text) for r in rows]
+    steps = 1 << 20
+    share = min(steps, -(-pool * steps // max(documents.count(), 1)))  # the count is in the files' footers
+    some = documents.where(F.pmod(F.xxhash64("doc_id"), F.lit(steps)) < share).select("doc_id", label.alias("label"), "text", latin.alias("latin")).where(label.isin(*LANGUAGES) & F.length("text").between(40, SAMPLE_CHARS))
+    order = [F.xxhash64("doc_id", F.lit(1)), F.col("doc_id"), F.col("text")]
+    picked = some.withColumn("rank", F.row_number().over(Window.partitionBy("label", "latin").orderBy(*order))).where(F.col("rank") <= per_stratum)
+    rows = picked.select("label", "text", "doc_id").collect()  # bounded: labels x families x per_stratum
+    return [(r.label, r.text) for r in sorted(rows, key=lambda r: (r.doc_id is None, r.doc_id, r.text))]
 
 
-SCHEMA = "doc_id long, seg_no int, lang string, confidence double, n_letters long, n_segments int, label string"
+SCHEMA = "doc_id string, seg_no int, lang string, confidence double, n_letters long, n_segments int, label string"
 
 
 def identify(documents: DataFrame, model: Model | None = None) -> DataFrame:
@@ -279,11 +308,11 @@ def identify(documents: DataFrame, model: Model | None = None) -> DataFrame:
                     part = batch.iloc[lo:hi]
                     found = label_texts(shared.value, texts[lo:hi])
                     rows = [(d, *r, len(rs) - 1, x if isinstance(x, str) else None) for d, x, rs in zip(part["doc_id"], part["lang"], found) for r in rs]
-                    yield pd.DataFrame(rows, columns=["doc_id", "seg_no", "lang", "confidence", "n_letters", "n_segments", "label"]).astype({"doc_id": "int64", "seg_no": "int32", "n_letters": "int64", "n_segments": "int32", "confidence": "float64"})
+                    yield pd.DataFrame(rows, columns=["doc_id", "seg_no", "lang", "confidence", "n_letters", "n_segments", "label"]).astype({"seg_no": "int32", "n_letters": "int64", "n_segments": "int32", "confidence": "float64"})
                     lo, size = hi, 0
 
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where(F.length("text") > 0)
-    return spread(docs, "doc_id").mapInPandas(run, SCHEMA)
+    docs = documents.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text", "lang").where(F.length("text") > 0)
+    return spread(docs, "doc_id").mapInPandas(run, SCHEMA).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def cases(labelled: DataFrame) -> DataFrame:

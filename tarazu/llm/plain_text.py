@@ -66,7 +66,7 @@ def fold(text: str | None, lines: bool = False) -> str | None:
     if "\u200c" in text or "\u200d" in text:
         text = _JOINER.sub("", text)
     text = unicodedata.normalize("NFC", text)
-    while any(k in text for k in SEQUENCES):  # a composed sign may compose with what stands before it
+    while _SEQ.search(text):  # a composed sign may compose with what stands before it
         text = _SEQ.sub(lambda m: SEQUENCES[m.group()], text)
     return text
 
