@@ -48,34 +48,65 @@ def approx_day(c: Column | str) -> Column:
     return let(F.split(normalize_date(c), "-"), lambda p: part(p, 1) * 365 + part(p, 2) * 30 + part(p, 3))
 
 
-def fiscal_year(c: Column | str) -> Column:
-    """The fiscal year begins with the fourth month."""
+def fiscal_year(c: Column | str, first: int = 2000, last: int = 2099) -> Column:
+    """The fiscal year begins with the fourth month; null outside the plausible years."""
 
     def year(p: Column) -> Column:
         y, m = (F.try_element_at(p, F.lit(i)).try_cast("int") for i in (1, 2))
-        return F.when(y.between(2000, 2099) & m.between(1, 12), F.when(m <= 3, y - 1).otherwise(y))
+        return F.when(y.between(first, last) & m.between(1, 12), F.when(m <= 3, y - 1).otherwise(y))
 
     return let(F.split(normalize_date(c), "-"), year)
 
 
+def plausible_year(c: Column | str, first: int = 2060, last: int = 2099) -> Column:
+    """The first BS year in a text, in digits of either script; null where none is plausible."""
+    year = F.regexp_extract(to_roman_digits(c), r"(?<![0-9])(20[0-9]{2})(?![0-9])", 1).try_cast("int")
+    return F.when(year.between(first, last), year)
+
+
+def month_number(c: Column | str, base: int = 2078) -> Column:
+    """(year - base) * 12 + month, as the register of charge sheets numbers months; an error before base or for no month; null for null."""
+
+    def number(p: Column) -> Column:
+        y, m = (F.try_element_at(p, F.lit(i)).try_cast("int") for i in (1, 2))
+        ok = F.coalesce((y >= base) & m.between(1, 12), F.lit(False))
+        return F.when(ok, (y - base) * 12 + m).otherwise(F.raise_error(F.concat(F.lit("no month of the register: "), F.array_join(p, "-"))))
+
+    return F.when(col(c).isNotNull(), let(F.split(normalize_date(c), "-"), number))
+
+
+def verdict_date_of(status: Column | str) -> Column:
+    """The date that a case's status names after the word for date, digits as they stand; null if none."""
+    return F.nullif(F.regexp_extract(col(status), "मिती:[\\s\\x{a0}]*([०-९/]+)", 1), F.lit(""))
+
+
 def fiscal_label(year: Column) -> Column:
     """2080 as 2080-81."""
     return F.when(year.isNotNull(), F.concat(year.cast("string"), F.lit("-"), F.lpad(((year + 1) % 100).cast("string"), 2, "0")))
 
 
 def current_fiscal_year(as_of: Column) -> Column:
-    """Of an AD date: BS years begin 57 years ahead from 16 July on, 56 before."""
+    """Of an AD date, the fiscal year that runs on it: it begins on 16 July with the BS year 57 ahead."""
     after = (F.month(as_of) > 7) | ((F.month(as_of) == 7) & (F.dayofmonth(as_of) >= 16))
     return F.year(as_of) + F.when(after, 57).otherwise(56)
 
 
-def guess_date(c: Column | str) -> Column:
-    """The first date in a text, year first, else day first."""
-    x = to_roman_digits(c)
-    ymd = F.regexp_extract(x, r"(20[5-9][0-9])[-/.।|]([0-9]{1,2})[-/.।|]([0-9]{1,2})", 0)
-    dmy = F.regexp_extract(x, r"([0-9]{1,2})[-/.]([0-9]{1,2})[-/.](20[5-9][0-9])", 0)
-    turned = F.array_join(F.reverse(F.split(dmy, "[-/.]")), "-")
-    return normalize_date(F.coalesce(F.nullif(ymd, F.lit("")), F.nullif(turned, F.lit(""))))
+# What stands before the date of a release, in order of trust.
+_LEADS = ("(?i:Press Release)[-–—\\s]*", "मिति[\\s:]*", "प्रेस विज्ञप्ति[-–—\\s]*", "^\\s*")
+
+
+def guess_date(title: Column | str, body: Column | str | None = None) -> Column:
+    """The date that a release names after 'Press Release', 'date', 'press note' in its own language, or at its very start: the first of these that is there. Null without."""
+    x = to_roman_digits(F.concat_ws("\n", col(title), col(body))) if body is not None else to_roman_digits(col(title))
+    english, native = r"([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})", r"([0-9]{4})[।./-]\s*([0-9]{1,2})[।./-]\s*([0-9]{1,2})"
+
+    def padded(m: Column) -> Column:
+        return F.when(F.size(m) > 0, F.concat_ws("-", m[0], F.lpad(m[1], 2, "0"), F.lpad(m[2], 2, "0")))
+
+    def found(lead: str, date: str) -> Column:
+        return F.array(*[F.nullif(F.regexp_extract(x, lead + date, i), F.lit("")) for i in (1, 2, 3)])
+
+    return F.coalesce(*[let(found(lead, english if k == 0 else native), lambda m: F.when(m[0].isNotNull(), padded(m))) for k, lead in enumerate(_LEADS)])
 
 
 def snapshot_date(c: Column | str) -> Column:

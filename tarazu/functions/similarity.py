@@ -24,8 +24,8 @@ def ratio(a: str, b: str) -> float:
     return 1.0 if not a and not b else 2 * lcs(a, b) / (len(a) + len(b))
 
 
-def partial_ratio(a: str, b: str) -> float:
-    """Best ratio of the shorter text with a window of the longer one, windows running over its ends included.
+def partial_ratio(a: str, b: str, floor: float = 0.0) -> float:
+    """Best ratio of the shorter text with a window of the longer one, windows running over its ends included; floor if it is no more.
 
     Stretches of two window lengths are bounded first: no window in one can share more with the short
     text than the whole stretch does. They are searched from the best bound down, as long as it can win.
@@ -36,11 +36,13 @@ def partial_ratio(a: str, b: str) -> float:
     if short in long:
         return 1.0
     n, letters = len(short), set(short)
-    best = 0.0
-    for k in range(1, n):  # windows over either end
-        for part in (long[:k], long[-k:]):
-            if 2 * min(k, n) / (n + k) > best:
-                best = max(best, ratio(short, part))
+    best = floor
+    for head in (True, False):  # windows over either end share no more than the longest of them
+        end = long[: n - 1] if head else long[max(0, len(long) - n + 1) :]
+        most = lcs(short, end)
+        for k in range(1, n):
+            if 2 * min(k, most) / (n + k) > best:
+                best = max(best, ratio(short, end[:k] if head else end[len(end) - k :]))
     stretches = []
     for start in range(0, max(1, len(long) - n + 1), n):
         shared = lcs(short, long[start : start + 2 * n - 1])
@@ -78,17 +80,29 @@ def name_in_text(name: str, text: str, raw: str) -> float:
     if len(name) < 4 or (len(words) == 1 and len(name) < 8) or not text:
         return 0.0
     if len(text) > LONG_TEXT:
-        score = partial_ratio(name, text)
+        score = partial_ratio(name, text, LEAST)
         parts = name.split()
         if len(words) >= 2 and len(parts) >= 2:
             for part, least in ((parts[0], FIRST), (parts[-1], LAST)):
-                if len(part) >= 3 and partial_ratio(part, text) < least:
+                if len(part) >= 3 and partial_ratio(part, text, least - 1e-9) < least:
                     score *= FAINT
     else:
         score = token_set_ratio(name, text)
     return score * (ALONE if len(words) == 1 else 1.0)
 
 
+SHORTEST = 20  # a passage shorter than this names nobody for sure
+
+
+def matched_passage(name: str, text: str, title: str, long: bool) -> str:
+    """Where a text names somebody: the window most like the name, the first of equals; of a short text its title."""
+    if not long:
+        return title
+    size, step = max(3 * len(name), 50), max(5, len(name) // 2)
+    windows = [text[i : i + size] for i in range(0, max(1, len(text) - size + 1), step)]
+    return max(windows, key=lambda w: partial_ratio(name, w)).strip()
+
+
 def _pairs(f):
     @F.pandas_udf("double")
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -110,8 +124,13 @@ def token_set():
 
 
 def name_score():
-    @F.pandas_udf("double")
-    def run(name: pd.Series, text: pd.Series, raw: pd.Series) -> pd.Series:
-        return pd.Series([name_in_text(n or "", t or "", r or "") for n, t, r in zip(name, text, raw)], dtype="float64")
+    @F.pandas_udf("score double, passage string")
+    def run(name: pd.Series, text: pd.Series, raw: pd.Series, full: pd.Series, title: pd.Series) -> pd.DataFrame:
+        rows = []
+        for n, t, r, f, h in zip(name, text, raw, full, title):
+            n, t, r = n or "", t or "", r or ""
+            score = name_in_text(n, t, r)
+            rows.append((score, matched_passage(r, f or "", h or "", len(t) > LONG_TEXT) if score >= LEAST else None))
+        return pd.DataFrame(rows, columns=["score", "passage"])
 
     return run

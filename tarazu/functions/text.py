@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import unicodedata
 from functools import reduce
 
 import pandas as pd
@@ -52,8 +51,12 @@ EQUIVALENT = [("ङ्ग", "ंग"), ("न्स", "ंस"), ("ण्ड", "
 
 def match_form(c: Column | str) -> Column:
     """The form in which names are compared: western digits, no honorifics or parentheses, like spellings as one, lower case."""
-    x = F.regexp_replace(to_roman_digits(F.coalesce(col(c), F.lit(""))), HONORIFICS, "")
-    x = F.translate(x, "()", "  ")
+    return spelling_form(F.regexp_replace(col(c), HONORIFICS, ""))
+
+
+def spelling_form(c: Column | str) -> Column:
+    """match_form without the step of the honorifics."""
+    x = F.translate(to_roman_digits(F.coalesce(col(c), F.lit(""))), "()", "  ")
     x = reduce(lambda e, p: F.replace(e, F.lit(p[0]), F.lit(p[1])), EQUIVALENT, x)
     return F.lower(normalize_whitespace(x))
 
@@ -201,5 +204,16 @@ def labelled_value(c: Column | str, label: str) -> Column:
     return F.nullif(F.trim(F.replace(F.regexp_extract(col(c), re.escape(label) + r"\s*\(([^)]+)\)", 1), F.lit("श्री"), F.lit(""))), F.lit(""))
 
 
-def composed(text: str) -> str:
-    return unicodedata.normalize("NFC", text)
+def fallback_parties(c: Column | str) -> Column:
+    """Names before the word for 'and others', between commas, semicolons, bars and slashes: where a case has no party rows."""
+    return nonblank(F.split(F.split_part(col(c), F.lit("समेत"), F.lit(1)), r"[,;|/]+"))
+
+
+def is_error_reply(explanation: Column | str) -> Column:
+    """An adjudicator's explanation that tells of a failure, not of a rejection."""
+    low = F.lower(F.coalesce(col(explanation), F.lit("")))
+    return reduce(lambda a, p: a | low.startswith(p), ERROR_REPLIES[1:], low.startswith(ERROR_REPLIES[0]))
+
+
+# Beginnings of an adjudicator's error replies.
+ERROR_REPLIES = ("llm_error:", "llm error:", "json parse error:")

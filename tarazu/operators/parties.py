@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarazu.functions.text import strip
 from tarazu.operators.dedupe import first_wins
 
 # Header cells that come as names, and the form of placeholders.
-LABELS = ["वादी", "प्रतिवादी", "नाम", "नाम थर", "ठेगाना", "N/A"]
+LABELS = ["नाम", "ठेगाना", "वादी", "प्रतिवादी", "वादीहरु", "प्रतिवादीहरु", "वादीको विवरण", "प्रतिवादीको विवरण"]
 PLACEHOLDER = r"^[0-9०-९.\-]{1,3}$"
 
 
 def clean_parties(df: DataFrame, keys: list[str], name: str, order: list[str], limit: int = 500) -> DataFrame:
-    """df with the name trimmed and cut to limit characters; labels, placeholders, blanks and exact repeats of a key dropped, the first kept."""
-    trimmed = df.withColumn(name, F.left(F.trim(name), F.lit(limit)))
+    """df with the name trimmed; labels, placeholders, blanks and exact repeats of a key dropped, the first kept, then cut to limit characters."""
+    trimmed = df.withColumn(name, strip(name))
     kept = trimmed.where(F.col(name).isNotNull() & (F.col(name) != "") & ~F.col(name).isin(LABELS) & ~F.col(name).rlike(PLACEHOLDER))
-    return first_wins(kept, [*keys, name], [F.col(c) for c in order])
+    return first_wins(kept, [*keys, name], [F.col(c) for c in order]).withColumn(name, F.left(F.col(name), F.lit(limit)))
 
 
 def split_rows(df: DataFrame, name: str, pattern: str, keep_first: list[str]) -> DataFrame:

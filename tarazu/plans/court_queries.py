@@ -88,10 +88,15 @@ def _match_sql(c: str) -> str:
     return f"lower({ws_sql(x)})"
 
 
-@query(f"SELECT id, {_match_sql('name')} AS form FROM court_case_entities WHERE NOT regexp_matches(name, 'श्री|माननीय|डा|प्रा|अध्यक्ष|सदस्य|सचिव')")
+@query(f"SELECT id, {_match_sql('name')} AS form FROM court_case_entities")
+def spelling_form(t):
+    return t("court_case_entities").select("id", text.spelling_form("name").alias("form"))
+
+
+@query()
 def match_form(t):
-    plain = ~F.col("name").rlike("श्री|माननीय|डा|प्रा|अध्यक्ष|सदस्य|सचिव")  # honorifics: word borders differ between regex engines, see tests
-    return t("court_case_entities").where(plain).select("id", text.match_form("name").alias("form"))
+    """Word borders differ between regex engines, so the step of the honorifics has no SQL; see tests."""
+    return t("court_case_entities").select("id", text.match_form("name").alias("form"))
 
 
 @query(r"SELECT charge_id, title, trim(regexp_replace(title, '\s*\([^)]*\)\s*', '', 'g')) AS cleaned FROM charge_sheets")
@@ -217,15 +222,27 @@ def observed_calendar(t):
     return dates.observed_calendar(t("court_case_hearings"), "hearing_date_bs", "hearing_date_ad")
 
 
-@query()
+@query(f"""
+WITH s AS (SELECT hearing_date_ad AS ad, hearing_date_bs AS bs, count(*) AS n FROM court_case_hearings WHERE hearing_date_ad IS NOT NULL AND regexp_full_match(hearing_date_bs, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') GROUP BY ALL),
+cal AS (SELECT ad, bs FROM s QUALIFY row_number() OVER (PARTITION BY ad ORDER BY n DESC, bs DESC) = 1),
+f AS (SELECT CAST(substr(bs, 1, 4) AS INTEGER) AS y, CAST(substr(bs, 6, 2) AS INTEGER) AS m, ad FROM cal WHERE bs LIKE '%-01'),
+mo AS (SELECT a.y, a.m, a.ad, b.ad - a.ad AS n_days FROM f a JOIN f b ON b.y * 12 + b.m = a.y * 12 + a.m + 1)
+SELECT c.case_number, c.court_identifier, c.updated_at, c.registration_date_bs, CASE WHEN c.d BETWEEN 1 AND mo.n_days THEN mo.ad + (c.d - 1) END AS ad
+FROM (SELECT *, {part_sql('registration_date_bs', 1)} AS y, {part_sql('registration_date_bs', 2)} AS m, {part_sql('registration_date_bs', 3)} AS d FROM court_cases) c LEFT JOIN mo ON mo.y = c.y AND mo.m = c.m
+""")
 def bs_to_ad(t):
     months = dates.month_starts(dates.observed_calendar(t("court_case_hearings"), "hearing_date_bs", "hearing_date_ad"))
     return dates.bs_to_ad(t("court_cases").select("case_number", "court_identifier", "updated_at", "registration_date_bs"), "registration_date_bs", months)
 
 
-@query()
+_D = r"([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})"
+_N = r"([0-9]{4})[।./-]\s*([0-9]{1,2})[।./-]\s*([0-9]{1,2})"
+_GUESS = ", ".join(f"CASE WHEN regexp_matches(x, '{p}') THEN regexp_extract(x, '{p}', 1) || '-' || lpad(regexp_extract(x, '{p}', 2), 2, '0') || '-' || lpad(regexp_extract(x, '{p}', 3), 2, '0') END" for p in ("(?i:Press Release)[-–—\\s]*" + _D, "मिति[\\s:]*" + _N, "प्रेस विज्ञप्ति[-–—\\s]*" + _N, "^\\s*" + _N))
+
+
+@query(f"SELECT press_id, coalesce({_GUESS}) AS bs FROM (SELECT press_id, {ROMAN.format("concat_ws(chr(10), title, full_text)")} AS x FROM press_releases)")
 def guess_dates(t):
-    return t("press_releases").select("press_id", dates.guess_date("full_text").alias("bs"))
+    return t("press_releases").select("press_id", dates.guess_date("title", "full_text").alias("bs"))
 
 
 # --- predicates and selections ---
@@ -273,9 +290,9 @@ _CLEAN = "trim(name)"
 
 
 @query(f"""
-WITH n AS (SELECT id, case_number, court_identifier, side, left(trim(name), 500) AS name, address FROM court_case_entities),
-k AS (SELECT * FROM n WHERE name IS NOT NULL AND name <> '' AND name NOT IN ('वादी', 'प्रतिवादी', 'नाम', 'नाम थर', 'ठेगाना', 'N/A') AND NOT regexp_matches(name, '^[0-9०-९.\\-]{{1,3}}$'))
-SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY case_number, court_identifier, side, name ORDER BY id) = 1
+WITH n AS (SELECT id, case_number, court_identifier, side, {strip_sql('name')} AS name, address FROM court_case_entities),
+k AS (SELECT * FROM n WHERE name IS NOT NULL AND name <> '' AND name NOT IN ('नाम', 'ठेगाना', 'वादी', 'प्रतिवादी', 'वादीहरु', 'प्रतिवादीहरु', 'वादीको विवरण', 'प्रतिवादीको विवरण') AND NOT regexp_matches(name, '^[0-9०-९.\\-]{{1,3}}$'))
+SELECT * REPLACE (left(name, 500) AS name) FROM k QUALIFY row_number() OVER (PARTITION BY case_number, court_identifier, side, k.name ORDER BY id) = 1
 """.replace("\\\\", "\\"))
 def clean_parties(t):
     rows = t("court_case_entities").select("id", "case_number", "court_identifier", "side", "name", "address")
@@ -283,12 +300,12 @@ def clean_parties(t):
 
 
 @query("""
-WITH p AS (SELECT id, name, address, list_filter(list_transform(string_split(name, ' '), lambda x: trim(x)), lambda x: x <> '') AS parts FROM court_case_entities)
+WITH p AS (SELECT id, name, address, list_filter(list_transform(string_split(name, '/'), lambda x: trim(x)), lambda x: x <> '') AS parts FROM (SELECT id, address, replace(name, ' ', ' / ') AS name FROM court_case_entities))
 SELECT id, CAST(i - 1 AS INTEGER) AS pos, parts[i] AS name, CASE WHEN i = 1 THEN address END AS address FROM p, LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS i)
 """)
 def split_rows(t):
-    rows = t("court_case_entities").select("id", "name", "address")
-    return parties.split_rows(rows, "name", " ", ["address"])
+    rows = t("court_case_entities").select("id", F.replace("name", F.lit(" "), F.lit(" / ")).alias("name"), "address")  # no name of the tables has a slash
+    return parties.split_rows(rows, "name", "/", ["address"])
 
 
 # --- joins ---
@@ -333,14 +350,12 @@ def exact_left_lookup(t):
 
 
 @query("""
-SELECT c.c_custkey, coalesce(s.s_name, n.n_name) AS value, CASE WHEN s.s_suppkey IS NOT NULL THEN 1 WHEN n.n_nationkey IS NOT NULL THEN 2 END AS level FROM customer c LEFT JOIN supplier s ON s.s_suppkey = c.c_custkey LEFT JOIN nation n ON n.n_nationkey = c.c_custkey % 50
+SELECT c.c_custkey, coalesce(s.s_name, n.n_name) AS value, CASE WHEN s.s_suppkey IS NOT NULL THEN 1 WHEN n.n_nationkey IS NOT NULL THEN 2 END AS level FROM customer c LEFT JOIN supplier s ON s.s_suppkey = c.c_custkey LEFT JOIN nation n ON n.n_nationkey * 60 = c.c_custkey
 """)
 def two_level_lookup(t):
-    keyed = t("customer").select("c_custkey", F.col("c_custkey").alias("k"), (F.col("c_custkey") % 50).alias("m"))
-    first = t("supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("value"))
-    second = t("nation").select(F.col("n_nationkey").cast("long").alias("m"), F.col("n_name").alias("b"))
-    joined = keyed.join(first.withColumn("_a", F.lit(1)), "k", "left").join(second.withColumn("_b", F.lit(2)), "m", "left")
-    return joined.select("c_custkey", F.when(F.col("_a").isNotNull(), F.col("value")).otherwise(F.col("b")).alias("value"), F.coalesce("_a", "_b").alias("level"))
+    first = t("supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("value"))
+    second = t("nation").select((F.col("n_nationkey").cast("long") * 60).alias("c_custkey"), F.col("n_name").alias("value"))
+    return matching.two_level(t("customer").select("c_custkey"), "c_custkey", first, second, "value").select("c_custkey", "value", "level")
 
 
 @query("""
@@ -445,14 +460,16 @@ def json_path_filter(t):
 
 
 @query("""
-SELECT case_number, court_identifier, updated_at, nullif(nullif(trim(verdict_date_bs), ''), '**** ** **') AS verdict_date_bs, coalesce(nullif(trim(case_id), ''), nullif(trim(json_extract_string(extra_data, '$.secondary_case_number')), '')) AS case_id FROM court_cases
+SELECT case_number, court_identifier, updated_at, CASE WHEN trim(verdict_date_bs) NOT IN ('', '****-**-**', '**** ** **') THEN trim(verdict_date_bs) END AS verdict_date_bs, coalesce(nullif(trim(case_id), ''), nullif(trim(json_extract_string(extra_data, '$.secondary_case_number')), '')) AS case_id FROM court_cases
 """)
 def json_backfill(t):
-    verdict = F.nullif(F.nullif(F.trim("verdict_date_bs"), F.lit("")), F.lit("**** ** **"))
+    verdict = F.when(~F.trim("verdict_date_bs").isin("", "****-**-**", "**** ** **"), F.trim("verdict_date_bs"))  # the sentinel as stored, and as printed
     return t("court_cases").select("case_number", "court_identifier", "updated_at", verdict.alias("verdict_date_bs"), jsonx.filled_from("case_id", "extra_data", "$.secondary_case_number").alias("case_id"))
 
 
-@query("SELECT id, json_extract_string(extra_data, '$.bench_no') AS before_no, '9' AS after_no, '{}' AS dropped FROM court_case_hearings WHERE extra_data IS NOT NULL AND json_extract_string(extra_data, '$.bench_no') IS NOT NULL")
+@query("""
+SELECT id, json_extract_string(extra_data, '$.bench_no') AS before_no, json_extract_string(json_merge_patch(extra_data, '{"bench_no": "9"}'), '$.bench_no') AS after_no, CASE WHEN len(json_keys(extra_data)) = 1 THEN '{}' ELSE CAST(json_merge_patch(extra_data, '{"bench_no": null}') AS VARCHAR) END AS dropped FROM court_case_hearings WHERE extra_data IS NOT NULL AND json_extract_string(extra_data, '$.bench_no') IS NOT NULL
+""")
 def json_merge(t):
     merged = jsonx.merged("extra_data", F.lit('{"bench_no": "9"}'))
     rows = t("court_case_hearings").where(F.get_json_object("extra_data", "$.bench_no").isNotNull())
@@ -604,27 +621,39 @@ def set_difference_plan(t):
 def _linkage_inputs(t):
     cases = t("court_cases").where(F.col("court_identifier") == "special").groupBy("case_number").agg(F.max_by("registration_date_bs", "updated_at").alias("dated"), F.max_by("defendant", "updated_at").alias("defendant"))
     cases = cases.select(F.col("case_number").alias("case_key"), "dated", "defendant")
-    releases = t("press_releases").groupBy("press_id").agg(F.max("publication_date").alias("dated"), F.concat_ws(" ", F.max("title"), F.max("full_text")).alias("text"))
+    releases = t("press_releases").groupBy("press_id").agg(F.max("publication_date").alias("dated"), F.max("title").alias("title"), F.concat_ws(" ", F.max("title"), F.when(~F.max("full_text").rlike("^[-_ ]*$"), F.max("full_text"))).alias("text"))
     return cases, releases
 
 
+def _defendants(cases):
+    return cases.select("case_key", F.posexplode(text.split_parties("defendant")).alias("pos", "name"))
+
+
+# the words of the names and of the releases without a month
+_UNDATED_SQL = f"""r AS (SELECT press_id, max(publication_date) AS dated, concat_ws(' ', max(title), CASE WHEN NOT regexp_matches(max(full_text), '^[-_ ]*$') THEN max(full_text) END) AS text FROM press_releases GROUP BY 1),
+n AS (SELECT case_key, unnest(CASE WHEN len(parts) > 0 THEN parts ELSE [{strip_sql('defendant')}] END) AS name FROM (SELECT case_key, defendant, list_filter(list_transform(string_split_regex(replace(defendant, 'समेत', ''), '[/,]'), lambda x: {strip_sql('x')}), lambda x: x <> '') AS parts FROM c WHERE defendant IS NOT NULL)),
+who AS (SELECT DISTINCT case_key, unnest(string_split({_match_sql('name')}, ' ')) AS w FROM n),
+free AS (SELECT * FROM (SELECT DISTINCT press_id, unnest(string_split({_match_sql('text')}, ' ')) AS w FROM r WHERE ({month_sql('dated')}) IS NULL) WHERE length(w) > 2 AND w NOT IN ({', '.join(f"'{x}'" for x in linkage.TITLE_WORDS)}))"""
+
+
 @query(f"""
-WITH c AS (SELECT case_number AS case_key, arg_max(registration_date_bs, updated_at) AS dated FROM court_cases WHERE court_identifier = 'special' GROUP BY 1),
+WITH c AS (SELECT case_number AS case_key, arg_max_null(registration_date_bs, updated_at) AS dated, arg_max_null(defendant, updated_at) AS defendant FROM court_cases WHERE court_identifier = 'special' GROUP BY 1),
+{_UNDATED_SQL},
 c2 AS (SELECT case_key, {month_sql('dated')} AS m, {approx_sql('dated')} AS d FROM c),
-r AS (SELECT press_id, max(publication_date) AS dated FROM press_releases GROUP BY 1),
 r2 AS (SELECT press_id, {month_sql('dated')} AS m, {approx_sql('dated')} AS d FROM r)
 SELECT case_key, press_id, CAST(CASE WHEN r2.d IS NULL OR c2.d IS NULL THEN 4 ELSE abs(r2.d - c2.d) END AS INTEGER) AS group_rank FROM c2 JOIN r2 ON r2.m BETWEEN c2.m - 1 AND c2.m + 1 WHERE r2.d IS NULL OR c2.d IS NULL OR abs(r2.d - c2.d) <= 3
+UNION ALL SELECT DISTINCT case_key, press_id, CAST(4 AS INTEGER) FROM who JOIN free USING (w)
 """)
 def month_candidates(t):
     cases, releases = _linkage_inputs(t)
-    return linkage.candidates(cases, releases)
+    return linkage.all_candidates(cases, _defendants(cases), releases)
 
 
 @query()
 def fuzzy_pairs(t):
     cases, releases = _linkage_inputs(t)
-    names = cases.select("case_key", F.explode(text.split_parties("defendant")).alias("name"))
-    return linkage.best(linkage.scored(linkage.candidates(cases, releases).unionByName(linkage.undated(names, releases)), names, releases), 5)
+    names = _defendants(cases)
+    return linkage.best(linkage.scored(linkage.all_candidates(cases, names, releases), names, releases), 5)
 
 
 @query()

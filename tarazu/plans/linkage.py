@@ -1,17 +1,21 @@
-"""The deterministic record linkage: candidates by month, a name score, the best per case, and nested records."""
+"""The deterministic record linkage: candidates by month, a name score, the best per case, verdicts, and nested records."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarazu.functions.dates import with_parts
-from tarazu.functions.similarity import name_score
-from tarazu.functions.text import match_form
+from tarazu.functions.similarity import LEAST, SHORTEST, name_score
+from tarazu.functions.text import is_error_reply, match_form, spelling_form
 from tarazu.operators.ranking import top_per_key
 
 DAYS = 3  # dated releases further from the registration are no candidates
 DATED, UNDATED = 0.85, 0.90  # least scores
+REVIEW = 0.0  # confidence above which a case is to be reviewed
+SECOND = 0.75  # least score of further releases of the best one's day
+# Honorifics that are no word of a name.
+TITLE_WORDS = ["श्रि", "माननिय", "डा.", "प्रा.", "अध्यक्ष", "सदस्य", "सचिव"]
 
 
 def _numbered(df: DataFrame) -> DataFrame:
@@ -24,8 +28,7 @@ def candidates(cases: DataFrame, releases: DataFrame) -> DataFrame:
     """case_key, press_id, group_rank: 0 for the same day, 1..DAYS for days apart, DAYS + 1 for undated releases.
 
     cases: case_key, dated; releases: press_id, dated. Joined on month buckets (own and both neighbours);
-    a release without a month or a day is undated and is a candidate of every case of its bucket or, without
-    a month, of none here (see undated()).
+    a release of the bucket without a day is undated. Those without a month are candidates by undated().
     """
     numbered = lambda df: _numbered(df).where(F.col("_m").isNotNull())
     c = numbered(cases.select("case_key", "dated"))
@@ -41,29 +44,113 @@ def undated(names: DataFrame, releases: DataFrame) -> DataFrame:
 
     names: case_key, name; releases: press_id, dated, text.
     """
-    tokens = lambda c: F.explode(F.array_distinct(F.split(match_form(c), " "))).alias("_t")
-    free = _numbered(releases.select("press_id", "dated", "text")).where(F.col("_m").isNull()).select("press_id", tokens("text")).where(F.col("_t") != "")
+    tokens = lambda c: F.explode(F.array_distinct(F.split(spelling_form(c), " "))).alias("_t")
+    is_word = (F.length("_t") > 2) & ~F.col("_t").isin(*TITLE_WORDS)
+    free = _numbered(releases.select("press_id", "dated", "text")).where(F.col("_m").isNull()).select("press_id", tokens("text")).where(is_word)
     who = names.select("case_key", tokens("name")).distinct()
     return who.join(free, "_t").select("case_key", "press_id", F.lit(DAYS + 1).alias("group_rank")).distinct()
 
 
+def all_candidates(cases: DataFrame, names: DataFrame, releases: DataFrame) -> DataFrame:
+    """Dated and undated candidates. cases: case_key, dated; names: case_key, name; releases: press_id, dated, text."""
+    return candidates(cases, releases).unionByName(undated(names, releases))
+
+
 def scored(pairs: DataFrame, names: DataFrame, releases: DataFrame) -> DataFrame:
-    """pairs with score: the best of the case's names in the release. names: case_key, name; releases: press_id, text.
+    """pairs with score, name and passage: the best of the case's names in the release, where it is LEAST or more.
 
-    The similarity runs once for each distinct (name, release) pair.
+    names: case_key, name, and pos, their order, if there is one; releases: press_id, title, text. Of equal scores the first name counts.
+    A release whose passage is shorter than SHORTEST is rejected. The similarity runs once for each distinct (name, release) pair.
     """
-    text = releases.select("press_id", match_form("text").alias("_text"))
-    names = names.select("case_key", "name").distinct()
-    each = pairs.join(names.select("case_key", "name"), "case_key").select("case_key", "press_id", "group_rank", "name")
-    distinct = each.select("name", "press_id").distinct().join(text, "press_id").select("name", "press_id", name_score()(match_form("name"), "_text", "name").alias("s"))
-    return each.join(distinct, ["name", "press_id"]).groupBy("case_key", "press_id", "group_rank").agg(F.max("s").alias("score"))
+    place = F.min("pos") if "pos" in names.columns else F.lit(0)
+    names = names.groupBy("case_key", "name").agg(place.alias("pos"))
+    read = releases.select("press_id", match_form("text").alias("_text"), F.col("text").alias("_full"), F.coalesce("title", F.lit("")).alias("_title"))
+    each = pairs.join(names, "case_key").select("case_key", "press_id", "group_rank", "name", "pos")
+    distinct = each.select("name", "press_id").distinct().join(read, "press_id").select("name", "press_id", name_score()(match_form("name"), "_text", "name", "_full", "_title").alias("s"))
+    best = each.join(distinct, ["name", "press_id"]).groupBy("case_key", "press_id", "group_rank").agg(F.max_by(F.struct("s.score", "name", "s.passage"), F.struct("s.score", -F.col("pos"), "name")).alias("b"))
+    told = F.coalesce(F.length(F.trim("b.passage")) >= SHORTEST, F.lit(False)) | (F.coalesce("b.passage", F.lit("")) == "")
+    return best.where(told & (F.col("b.score") >= LEAST)).select("case_key", "press_id", "group_rank", "b.*")
+
+
+def signals() -> Column:
+    """What speaks for a scored pair, as strings."""
+    said = F.array(F.format_string("defendant_name_similarity(%.2f)", "score"), F.concat(F.lit("matched_defendant:"), "name"), F.when(F.col("passage") != "", F.concat(F.lit("pr_matched_text:"), "passage")))
+    return F.filter(said, lambda x: x.isNotNull())
+
+
+def least_score() -> Column:
+    return F.when(F.col("group_rank") > DAYS, UNDATED).otherwise(DATED)
 
 
 def best(scores: DataFrame, k: int = 1) -> DataFrame:
     """The k best releases of each case: score, then the nearer day, then the smaller id; with the threshold applied as status."""
-    least = F.when(F.col("group_rank") > DAYS, UNDATED).otherwise(DATED)
     top = top_per_key(scores, ["case_key"], [F.desc("score"), F.asc("group_rank"), F.asc("press_id")], k)
-    return top.withColumn("status", F.when(F.col("score") >= least, "matched").when(F.col("score") >= 0.5, "needs_review").otherwise("unmatched"))
+    return top.withColumn("status", F.when(F.col("score") >= least_score(), "matched").when(F.col("score") >= LEAST, "needs_review").otherwise("unmatched"))
+
+
+def secondary(scores: DataFrame) -> DataFrame:
+    """case_key, press_id, score: further releases of the same day group as a case's matched best one, of SECOND or more; undated groups have none."""
+    top = best(scores).where((F.col("status") == "matched") & (F.col("group_rank") <= DAYS)).select("case_key", "group_rank", F.col("press_id").alias("_best"))
+    return scores.join(top, ["case_key", "group_rank"]).where((F.col("press_id") != F.col("_best")) & (F.col("score") >= SECOND)).select("case_key", "press_id", "score")
+
+
+def initial_status(cases: DataFrame, scores: DataFrame, sheets: DataFrame, adjudicated: bool = True) -> DataFrame:
+    """case_key, press_ids, has_sheet, confidence, status, signals of every case before an adjudicator speaks.
+
+    confidence is the greater of the release's score and 1 for a sheet of the case's number, to four places. Below its threshold
+    the best release is not attached; its score stays if an adjudicator will be asked. scores: see scored(); sheets: case_key.
+    """
+    one = best(scores).withColumn("_said", signals())
+    hit = F.col("status") == "matched"
+    kept = one.select("case_key", F.when(hit, F.array("press_id")).otherwise(F.array().cast("array<long>")).alias("press_ids"), F.when(hit | F.lit(adjudicated), F.col("score")).otherwise(0.0).alias("score"), F.when(hit | F.lit(adjudicated), F.col("_said")).alias("_said"))
+    held = sheets.select("case_key").distinct().withColumn("has_sheet", F.lit(True))
+    all_ = cases.select("case_key").distinct().join(kept, "case_key", "left").join(held, "case_key", "left")
+    sheet = F.coalesce("has_sheet", F.lit(False))
+    confidence = F.round(F.greatest(F.coalesce("score", F.lit(0.0)), sheet.cast("double")), 4)
+    none = F.array().cast("array<string>")
+    said = F.concat(F.coalesce("_said", none), F.when(sheet, F.array(F.lit("ag_index_exact_match"))).otherwise(none))
+    rows = all_.select("case_key", F.coalesce("press_ids", F.array().cast("array<long>")).alias("press_ids"), sheet.alias("has_sheet"), confidence.alias("confidence"), said.alias("signals"))
+    return rows.withColumn("status", F.when(F.col("confidence") >= DATED, "confirmed").when(F.col("confidence") > REVIEW, "needs_review").otherwise("unmatched"))
+
+
+def final_status(initial: DataFrame, scores: DataFrame, verdicts: DataFrame, additional: DataFrame) -> DataFrame:
+    """initial with an adjudicator's verdicts applied, and a reason where a case stays unmatched.
+
+    verdicts: case_key, press_id (null for none), confidence, explanation; additional: case_key, press_id of further releases.
+    A release it names among the case's candidates replaces the others, and of the signals only those of sheets stay beside the
+    candidate's. An error leaves the case to be reviewed; a rejection leaves it unmatched even with a sheet. Further releases are
+    attached once, to cases that have one. Last, what has neither release nor sheet is unmatched.
+    """
+    v = verdicts.select("case_key", F.col("press_id").alias("_p"), F.col("confidence").alias("_c"), "explanation", F.lit(True).alias("_asked"))
+    cand = scores.select("case_key", F.col("press_id").alias("_p"), signals().alias("_said"))
+    extra = additional.groupBy("case_key").agg(F.sort_array(F.collect_set("press_id")).alias("_more"))
+    df = initial.join(v, "case_key", "left").join(cand, ["case_key", "_p"], "left").join(extra, "case_key", "left")
+    named, failed = F.col("_p").isNotNull() & F.col("_said").isNotNull(), F.col("_asked") & F.col("_p").isNull() & is_error_reply("explanation")
+    refused = F.col("_asked") & F.col("_p").isNull() & ~is_error_reply("explanation")
+    bare = F.filter("signals", lambda x: ~x.rlike("^(pr_matched_text:|date_match:|defendant_name_similarity|matched_defendant:)"))
+    sure = F.when(named, F.greatest("confidence", "_c")).otherwise(F.col("confidence"))
+    ids = F.when(named, F.array("_p")).when(refused, F.array().cast("array<long>")).otherwise(F.col("press_ids"))
+    said = (
+        F.when(named, F.concat(F.filter("signals", lambda x: x.startswith("ag_index_")), "_said", F.array(F.format_string("llm_multi_case_batch(%.2f)", "_c"))))
+        .when(failed, F.concat("signals", F.array(F.lit("llm_unavailable"))))
+        .when(refused, F.concat(bare, F.array(F.lit("llm_multi_case_batch_rejected"))))
+        .otherwise(F.col("signals"))
+    )
+    status = F.when(named, F.when(sure >= DATED, "confirmed").otherwise("needs_review")).when(failed, "needs_review").when(refused, "unmatched").otherwise(F.col("status"))
+    reason = F.when(refused, "LLM rejected all candidates")
+    df = df.select("case_key", "has_sheet", "_more", sure.alias("confidence"), ids.alias("press_ids"), said.alias("signals"), status.alias("status"), reason.alias("reason"))
+    new = F.when(F.size("press_ids") > 0, F.array_except(F.coalesce("_more", F.array().cast("array<long>")), "press_ids")).otherwise(F.array().cast("array<long>"))
+    df = df.withColumn("_new", new)
+    df = df.select("case_key", "has_sheet", "confidence", "status", "reason", F.concat("press_ids", "_new").alias("press_ids"), F.concat("signals", F.transform("_new", lambda x: F.concat(F.lit("llm_secondary_pr_confirmed:"), x.cast("string")))).alias("signals"))
+    empty = F.col("status").isin("confirmed", "needs_review") & (F.size("press_ids") == 0) & ~F.col("has_sheet")
+    why = F.when(empty, "No press release or charge sheet populated").when(F.col("status") == "unmatched", F.coalesce("reason", F.lit("No press release or charge sheet matched above threshold")))
+    return df.select("case_key", "press_ids", "has_sheet", "confidence", F.when(empty, F.lit("unmatched")).otherwise(F.col("status")).alias("status"), F.when(empty, bare).otherwise(F.col("signals")).alias("signals"), why.alias("reason"))
+
+
+def run_statistics(final: DataFrame) -> DataFrame:
+    """total, confirmed, needs_review, unmatched, written: one row of counts over a run's cases; written are those with a release or sheet."""
+    n = lambda s: F.count_if(F.col("status") == s).alias(s)
+    return final.agg(F.count(F.lit(1)).alias("total"), n("confirmed"), n("needs_review"), n("unmatched"), F.count_if((F.size("press_ids") > 0) | F.col("has_sheet")).alias("written"))
 
 
 def nested(cases: DataFrame, matches: DataFrame, sheets: DataFrame, parties: DataFrame) -> DataFrame:

@@ -28,9 +28,9 @@ def _pages(t) -> DataFrame:
     link = F.concat(F.lit('<td><a href="/view?id='), F.col("id").cast("string"), F.lit('&caseno='), F.col("case_number"), F.lit('">view</a></td>'))
     row = F.concat(F.lit("<tr>"), cell("id"), cell("case_number"), cell("bench"), link, F.lit("</tr>"))
     page = F.concat_ws("/", "court_identifier", F.col("hearing_date_ad").cast("string"))
-    made = h.select(page.alias("page_id"), "id", "court_identifier", row.alias("row")).groupBy("page_id", "court_identifier").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", "row"))), lambda x: x["row"]), "").alias("rows"))
+    made = h.select(page.alias("page_id"), "id", "court_identifier", row.alias("row")).groupBy("page_id", "court_identifier").agg(F.when(F.count(F.lit(1)) > 1, "list of many").otherwise("single").alias("kind"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", "row"))), lambda x: x["row"]), "").alias("rows"))
     head = "<html><head><style>td{}</style></head><body><dl><dt>Court</dt><dd>"
-    return made.select("page_id", F.concat(F.lit(head), text.escape_html("court_identifier"), F.lit("</dd><dt>List  kind</dt><dd>daily</dd></dl><table><tr><th>id</th></tr>"), F.col("rows"), F.lit("</table></body>")).alias("html"))
+    return made.select("page_id", F.concat(F.lit(head), text.escape_html("court_identifier"), F.lit("</dd><dt>List  kind</dt><dd>"), F.col("kind"), F.lit("</dd></dl><table><tr><th>id</th></tr>"), F.col("rows"), F.lit("</table></body>")).alias("html"))
 
 
 @query(r"""
@@ -50,7 +50,7 @@ def html_links(t):
 
 
 @query("""
-SELECT DISTINCT court_identifier || '/' || CAST(hearing_date_ad AS VARCHAR) AS page_id, trim(court_identifier) AS court_identifier, '{"List_kind":"daily"}' AS extra FROM court_case_hearings WHERE hearing_date_ad IS NOT NULL
+SELECT court_identifier || '/' || CAST(hearing_date_ad AS VARCHAR) AS page_id, trim(court_identifier) AS court_identifier, CASE WHEN count(*) > 1 THEN '{"List_kind":"list of many"}' ELSE '{"List_kind":"single"}' END AS extra FROM court_case_hearings WHERE hearing_date_ad IS NOT NULL GROUP BY 1, 2
 """)
 def html_details(t):
     return html.pivot(html.definitions(_pages(t)), "page_id", {"Court": "court_identifier"})
@@ -170,8 +170,8 @@ def chunk_per_group(t):
 def nested_records(t):
     """JSON of each special case with parties, releases and sheets."""
     cases, releases = court_queries._linkage_inputs(t)
-    names = cases.select("case_key", F.explode(text.split_parties("defendant")).alias("name"))
-    found = linkage.best(linkage.scored(linkage.candidates(cases, releases).unionByName(linkage.undated(names, releases)), names, releases))
+    names = court_queries._defendants(cases)
+    found = linkage.best(linkage.scored(linkage.all_candidates(cases, names, releases), names, releases))
     sheets = t("charge_sheets").select(F.col("case_number").alias("case_key"), "charge_id", "title")
     who = t("court_case_entities").where(F.col("court_identifier") == "special").select(F.col("case_number").alias("case_key"), "side", "name")
     full = linkage.nested(cases, found, sheets, who)

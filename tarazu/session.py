@@ -47,7 +47,7 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-SMALL = 4 << 20  # bytes a core, below which a scan may be fewer tasks than there are cores
+SMALL = 2 << 20  # bytes a core, below which a scan may be fewer tasks than there are cores
 
 
 def spread(scan: DataFrame, key: str) -> DataFrame:

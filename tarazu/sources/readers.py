@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarazu.operators.dedupe import first_wins, last_wins
+from tarazu.session import cut
 
 
 def _ordered(df: DataFrame) -> DataFrame:
-    """df with the file and the place of each row in it: the order of the source."""
-    return df.withColumn("_file", F.input_file_name()).withColumn("_at", F.monotonically_increasing_id())
+    """df with _at, the order of the source: the file's name, then the place in it.
+
+    A file is read by one task from its start (multiLine), so the low bits of the running id count its rows after those of other files of the task.
+    """
+    return df.withColumn("_at", F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("place")))
 
 
 def _csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -30,7 +36,7 @@ def press_releases(spark: SparkSession, path: str) -> DataFrame:
 def charge_sheets(spark: SparkSession, path: str) -> DataFrame:
     """The last row of each case number."""
     rows = _ordered(_csv(spark, path, ["case_number", "title", "filing_date", "pdf_url", "court_office"]))
-    return last_wins(rows, ["case_number"], [F.col("_at")]).drop("_file", "_at")
+    return last_wins(rows, ["case_number"], [F.col("_at")]).drop("_at")
 
 
 def appeal_map(spark: SparkSession, path: str, skip: int = 2) -> DataFrame:
@@ -47,7 +53,13 @@ def appeal_map(spark: SparkSession, path: str, skip: int = 2) -> DataFrame:
 def listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """path, length of the files under a folder; contents are not read, empty directory marks are left out."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
-    return files.select("path", "length").where(~F.col("path").endswith("/"))
+    return files.select("path", "length").where(~F.col("path").endswith("/")).orderBy("path")
+
+
+def common_prefixes(files: DataFrame, root: str) -> DataFrame:
+    """prefix, n_files: the folders next below root, as an object store lists them, in order of name; files right under root have none."""
+    rest = F.regexp_replace(F.regexp_extract("path", f"{re.escape(root.rstrip('/'))}/(.*)$", 1), "^/+", "")
+    return files.select(F.regexp_extract(rest, "^([^/]+/)", 1).alias("prefix")).where(F.col("prefix") != "").groupBy("prefix").agg(F.count(F.lit(1)).alias("n_files")).orderBy("prefix")
 
 
 def sidecars(spark: SparkSession, path: str, schema: str, list_field: str) -> DataFrame:
@@ -62,9 +74,14 @@ def sidecars(spark: SparkSession, path: str, schema: str, list_field: str) -> Da
 def paged_json(spark: SparkSession, path: str, start: str) -> DataFrame:
     """page, hops of the pages reached from start by their next links, in a folder of pages read at once; a cycle ends where it closes."""
     pages = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("page"), F.get_json_object("value", "$.next").alias("next"))
-    known = {r.page: r.next for r in pages.collect()}  # one row a page of an index, not of the data
-    seen, at = [], start
-    while at is not None and at in known and at not in seen:
-        seen.append(at)
-        at = known[at]
-    return spark.createDataFrame([(p, i) for i, p in enumerate(seen)], "page string, hops int")
+    linked = cut(pages)
+    reached = linked.where(F.col("page") == start).select("page", "next", F.lit(0).alias("hops"))
+    step = 1  # links followed: doubled in every round, so the rounds are the logarithm of the pages
+    jumps = linked.where(F.col("next").isNotNull()).select(F.col("page").alias("a"), F.col("next").alias("b"))
+    while True:
+        more = reached.join(jumps, reached["page"] == jumps["a"]).select(F.col("b").alias("page"), (F.col("hops") + step).alias("hops")).join(linked, "page").select("page", "next", "hops")
+        grown = cut(reached.unionByName(more).groupBy("page").agg(F.min("next").alias("next"), F.min("hops").alias("hops")))
+        if grown.count() == reached.count():
+            return grown.select("page", "hops")
+        reached, step = grown, step * 2
+        jumps = cut(jumps.alias("x").join(jumps.alias("y"), F.col("x.b") == F.col("y.a")).select(F.col("x.a").alias("a"), F.col("y.b").alias("b")))

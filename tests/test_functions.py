@@ -14,7 +14,12 @@ def test_dates(spark):
     assert got == ["2081-09-28", "2081-09-28", "2078-05-08", "2082-04-16", "", None, "****-**-**", "2081-09", "20811-01-01"]
     assert values(spark, dates.fiscal_label(dates.fiscal_year("x")), ["2080-03-31", "2080-04-01", "x", None, "2098-12-01"]) == ["2079-80", "2080-81", None, None, "2098-99"]
     assert values(spark, dates.approx_day("x"), ["2080-10-01", "x", None])[0] - values(spark, dates.approx_day("x"), ["2080-09-30"])[0] == 1
-    assert values(spark, dates.guess_date("x"), ["मिति २०८१।१।५ मा", "5/1/2081", "none", None]) == ["2081-01-05", "2081-01-05", None, None]
+    assert values(spark, dates.guess_date("x"), ["मिति २०८१।१।५ मा", "2081-1-5 was", "a 2081-1-5", "none", None, "मिति 2081/2/3 press release - 2081.1.5", "प्रेस विज्ञप्ति – २०८१। २। ३"]) == ["2081-01-05", "2081-01-05", None, None, None, "2081-01-05", "2081-02-03"]
+    assert values(spark, dates.month_number("x"), ["2078-01-01", "२०८०-१२-०१", None]) == [1, 36, None]
+    with pytest.raises(Exception, match="no month"):
+        values(spark, dates.month_number("x"), ["2077-12-01"])
+    assert values(spark, dates.verdict_date_of("x"), ["फैसला भएको (मिती: २०८०/०१/०२)", "चालु", None]) == ["२०८०/०१/०२", None, None]
+    assert values(spark, dates.plausible_year("x"), ["सम्म २०७५/१/२", "2058", "120755", None]) == [2075, None, None, None]
     assert [str(v) if v else v for v in values(spark, dates.snapshot_date("x"), ["2024-02-03", "2024-02-31", "latest", None])] == ["2024-02-03", None, None, None]
 
 

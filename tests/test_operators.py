@@ -75,7 +75,7 @@ def test_joins(spark):
 
 
 def test_parties(spark):
-    df = spark.createDataFrame([(1, "c", " राम "), (2, "c", "राम"), (3, "c", "वादी"), (4, "c", "-"), (5, "c", None), (6, "c", "न" * 501)], "id int, k string, name string")
+    df = spark.createDataFrame([(1, "c", " राम "), (2, "c", "राम"), (3, "c", "वादी"), (4, "c", "-"), (5, "c", None), (6, "c", "न" * 501), (7, "c", "प्रतिवादीको विवरण"), (8, "c", "न" * 501)], "id int, k string, name string")
     got = rows(parties.clean_parties(df, ["k"], "name", ["id"]), "id")
     assert [(g[0], len(g[2])) for g in got] == [(1, 3), (6, 500)]
     split = spark.createDataFrame([(1, "/ क / ख", "ठेगाना")], "id int, name string, address string")
@@ -106,17 +106,41 @@ def test_index(spark):
 
 def test_linkage(spark):
     cases = spark.createDataFrame([("c1", "2080-05-10"), ("c2", None)], "case_key string, dated string")
-    rel = spark.createDataFrame([(1, "2080-05-10", "x " * 60 + "राम लाल थापा"), (2, "2080-05-13", "अरू"), (3, "2080-05-14", "अरू"), (4, "2080-05", "अरू"), (5, None, "अरू")], "press_id long, dated string, text string")
+    rel = spark.createDataFrame([(1, "2080-05-10", "x " * 60 + "राम लाल थापा", "t"), (2, "2080-05-13", "अरू", "t"), (3, "2080-05-14", "अरू", "t"), (4, "2080-05", "राम लाल थापा", "राम लाल थापा"), (5, None, "अरू", "t")], "press_id long, dated string, text string, title string")
     pairs = linkage.candidates(cases, rel)
     assert rows(pairs, "press_id") == [("c1", 1, 0), ("c1", 2, 3), ("c1", 4, 4)]
     names = spark.createDataFrame([("c1", "राम लाल थापा")], "case_key string, name string")
-    top = linkage.best(linkage.scored(pairs, names, rel)).first()
-    assert (top.press_id, top.status) == (1, "matched") and top.score == pytest.approx(1.0)
+    scores = linkage.scored(pairs, names, rel)
+    top = linkage.best(scores).first()
+    assert (top.press_id, top.status, top.name) == (1, "matched", "राम लाल थापा") and top.score == pytest.approx(1.0)
+    assert "राम लाल" in top.passage and scores.count() == 1  # release 4 is named by its title alone, which is too short
+    assert scores.select(linkage.signals().alias("s")).first().s[:2] == ["defendant_name_similarity(1.00)", "matched_defendant:राम लाल थापा"]
+
+
+def test_verdicts(spark):
+    S = "case_key string, press_id long, group_rank int, score double, name string, passage string"
+    scores = spark.createDataFrame([("a", 1, 0, 0.9, "n", "p"), ("a", 2, 0, 0.8, "n", "p"), ("a", 3, 1, 0.8, "n", "p"), ("b", 4, 1, 0.7, "n", "p"), ("c", 5, 1, 0.7, "n", "p"), ("d", 6, 1, 0.7, "n", ""), ("e", 7, 4, 0.89, "n", "p"), ("g", 8, 0, 0.6, "n", "p")], S)
+    cases = spark.createDataFrame([(k,) for k in "abcdefg"], "case_key string")
+    first = linkage.initial_status(cases, scores, spark.createDataFrame([("c",), ("f",), ("f",)], "case_key string"))
+    got = {r.case_key: r for r in first.collect()}
+    assert [got[k].status for k in "abcdefg"] == ["confirmed", "needs_review", "confirmed", "needs_review", "confirmed", "confirmed", "needs_review"]
+    assert got["e"].press_ids == [] and got["f"].confidence == 1.0 and got["f"].signals == ["ag_index_exact_match"]
+    assert [tuple(r) for r in linkage.secondary(scores).collect()] == [("a", 2, 0.8)]
+    verdicts = spark.createDataFrame([("b", 4, 0.95, "yes"), ("c", None, 0.0, "none fits"), ("d", None, 0.0, "LLM_ERROR: 503"), ("g", 99, 0.9, "no candidate")], "case_key string, press_id long, confidence double, explanation string")
+    more = spark.createDataFrame([("a", 2), ("a", 1), ("c", 5)], "case_key string, press_id long")
+    final = linkage.final_status(first, scores, verdicts, more)
+    end = {r.case_key: r for r in final.collect()}
+    assert (end["a"].press_ids, end["a"].status) == ([1, 2], "confirmed") and end["a"].signals[-1] == "llm_secondary_pr_confirmed:2"
+    assert (end["b"].press_ids, end["b"].status, end["b"].confidence) == ([4], "confirmed", 0.95) and end["b"].signals[-1] == "llm_multi_case_batch(0.95)"
+    assert (end["c"].status, end["c"].reason, end["c"].signals) == ("unmatched", "LLM rejected all candidates", ["ag_index_exact_match", "llm_multi_case_batch_rejected"])
+    assert (end["d"].status, end["d"].signals) == ("unmatched", ["llm_unavailable"])  # no release and no sheet
+    assert end["e"].status == end["g"].status == "unmatched" and end["f"].status == "confirmed"
+    assert tuple(linkage.run_statistics(final).first()) == (7, 3, 0, 4, 4)
 
 
 def test_undated_releases_are_candidates(spark):
     names = spark.createDataFrame([("dated", "Ram Lal Thapa"), ("undated", "Hari Man Rai"), ("other", "Gopal Ghale")], "case_key string, name string")
-    rel = spark.createDataFrame([(1, None, "a case against Ram Lal Thapa and Hari Man Rai"), (2, "", "a case against Hari Man Rai"), (3, "2080-01-10", "against Hari Man Rai")], "press_id long, dated string, text string")
+    rel = spark.createDataFrame([(1, None, "a case against Ram Lal Thapa and Hari Man Rai", "against Ram Lal Thapa and another"), (2, "", "a case against Hari Man Rai", "a case against Hari Man Rai"), (3, "2080-01-10", "against Hari Man Rai", "")], "press_id long, dated string, text string, title string")
     pairs = linkage.undated(names, rel)
     assert rows(pairs) == [("dated", 1, 4), ("undated", 1, 4), ("undated", 2, 4)]
     assert {r.status for r in linkage.best(linkage.scored(pairs, names, rel)).collect()} == {"matched"}
