@@ -59,3 +59,27 @@ def primary_url(sources: Column) -> Column:
     links = F.try_element_at(sources, F.lit(1))["links"]
     raw = F.filter(links, lambda x: x["role"] == "RAW")
     return F.coalesce(F.try_element_at(raw, F.lit(1))["link"], F.try_element_at(links, F.lit(1))["link"])
+
+
+def omit_empty(*columns: str) -> Column:
+    """A row as JSON without what is null, blank or an empty list."""
+    return F.to_json(F.struct(*[_filled(c) for c in columns]))
+
+
+def _filled(c: str) -> Column:
+    return F.when(F.length(F.trim(F.col(c).cast("string"))) > 0, F.when(F.col(c).cast("string") != "[]", F.col(c))).alias(c)
+
+
+def pretty(row: Column) -> Column:
+    """A struct as indented JSON, letters of all scripts as they are."""
+    return F.to_json(row, {"pretty": "true", "ignoreNullFields": "false"})
+
+
+def order_urls(paths: Column, base: str) -> Column:
+    """The addresses of stored files: blank paths out, base before each."""
+    return F.transform(F.filter(paths, lambda p: p.isNotNull() & (F.trim(p) != "")), lambda p: F.concat(F.lit(base.rstrip("/") + "/"), F.ltrim(p, F.lit("/"))))
+
+
+def keys_dropped_where(json: Column | str, when: Column, *keys: str) -> Column:
+    """The object without some keys where the condition holds; others stay as they are."""
+    return F.when(F.coalesce(when, F.lit(False)), without_keys(json, *keys)).otherwise(col(json))

@@ -99,8 +99,12 @@ def matched_passage(name: str, text: str, title: str, long: bool) -> str:
     if not long:
         return title
     size, step = max(3 * len(name), 50), max(5, len(name) // 2)
-    windows = [text[i : i + size] for i in range(0, max(1, len(text) - size + 1), step)]
-    return max(windows, key=lambda w: partial_ratio(name, w)).strip()
+    best, found = 0.0, text[:size]
+    for i in range(0, max(1, len(text) - size + 1), step):
+        score = partial_ratio(name, text[i : i + size], best)
+        if score > best:
+            best, found = score, text[i : i + size]
+    return found.strip()
 
 
 def _pairs(f):

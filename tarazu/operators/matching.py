@@ -48,3 +48,19 @@ def pick_by_index(candidates: Column, index: Column) -> Column:
 def nest(df: DataFrame, keys: list[str], value: str, out: str, sep: str = "; ") -> DataFrame:
     """keys, out, n: the distinct values of each key in order, joined."""
     return df.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_set(value)), sep).alias(out), F.count_distinct(value).alias("n"))
+
+
+def lookup_or_fail(df: DataFrame, key: str, table: DataFrame, table_key: str, value: str) -> DataFrame:
+    """df with the table's value for its key, either way round; a key that the table lacks is an error, a null key has null."""
+    known = table.select(F.col(table_key).alias("_k"), F.col(value).alias("_v"), F.lit(True).alias("_in"))
+    joined = df.join(known, df[key] == known["_k"], "left")
+    wrong = F.raise_error(F.concat(F.lit(f"unknown {key}: "), df[key].cast("string")))
+    found = F.when(F.col("_in") | df[key].isNull(), F.col("_v")).otherwise(wrong.cast(dict(table.dtypes)[value]))
+    return joined.select(*[df[c] for c in df.columns], found.alias(value))
+
+
+def append_new(df: DataFrame, key: str, items: str, more: DataFrame, item: str) -> DataFrame:
+    """df with the items of more added to its array, each once, in order, those it has left out."""
+    extra = more.groupBy(key).agg(F.sort_array(F.collect_set(item)).alias("_more"))
+    new = F.array_except(F.coalesce("_more", F.array().cast(dict(df.dtypes)[items])), F.col(items))
+    return df.join(extra, key, "left").select(*[F.concat(items, new).alias(items) if c == items else F.col(c) for c in df.columns])

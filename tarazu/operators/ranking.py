@@ -59,3 +59,21 @@ def carry_forward(df: DataFrame, key: list[str], order: list[str], column: str,
     """The last value that isn't null at or before each row."""
     w = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumn(out, F.last(column, ignorenulls=True).over(w))
+
+
+def keyset(df: DataFrame, columns: list[str], after: list, size: int) -> DataFrame:
+    """The next size rows in the order of columns beyond the row whose values are after; without values, the first page."""
+    rows = df if after is None else df.where(F.struct(*columns) > F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, after)]))
+    return rows.orderBy(*columns).limit(size)
+
+
+def watermark(df: DataFrame, n: str, old: int = 0) -> DataFrame:
+    """high: the greatest number seen, never below the old one; one row, also of an empty df."""
+    return df.agg(F.greatest(F.coalesce(F.max(n), F.lit(old)), F.lit(old)).cast("long").alias("high"))
+
+
+def last_before_gap(df: DataFrame, key: list[str], n: str, misses: int) -> DataFrame:
+    """key, first_n, last_n: how far a reader comes that starts at the first number and gives up after so many missing in a row."""
+    runs = islands(df, key, n)
+    w = Window.partitionBy(*key).orderBy("first_n")  # a row a run of numbers, not a number
+    return runs.withColumn("_gap", F.col("first_n") - F.lag("last_n").over(w) - 1).withColumn("_stopped", F.max(F.when(F.col("_gap") >= misses, 1).otherwise(0)).over(w)).where(F.col("_stopped") == 0).groupBy(*key).agg(F.min("first_n").alias("first_n"), F.max("last_n").alias("last_n"))

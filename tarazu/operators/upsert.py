@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarazu.functions.jsonx import merged
+from tarazu.operators.dedupe import first_wins
 from tarazu.operators.ranking import positions
 
 
@@ -66,3 +68,38 @@ def number_new(rows: DataFrame, existing: DataFrame, id_column: str, order: list
     """
     top = existing.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("m")).first().m
     return positions(rows, [], order, "_pos").select(*rows.columns, (F.col("_pos") + F.lit(top + 1)).alias(id_column))
+
+
+def save_listing(cases: DataFrame, hearings: DataFrame, ledger: DataFrame, listed: DataFrame, keys: list[str], unit: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(cases, hearings, ledger) after a listing is saved. listed: case columns, hearing columns and the unit (court and day) each row was listed under.
+
+    Units that the ledger has are not saved again, so a listing run twice changes nothing. Of a case listed more than once in a run the
+    first row counts (by unit, then all columns); a known case keeps what the listing does not say. Hearings are appended.
+    """
+    new = listed.join(ledger.select(*unit).distinct(), unit, "left_anti")
+    order = [F.struct(*[F.col(c) for c in unit]), F.struct(*[F.col(c) for c in sorted(listed.columns)])]
+    first = first_wins(new, keys, order).select(*[c for c in cases.columns if c in listed.columns])
+    added = new.select(*[F.col(c) if c in new.columns else F.lit(None).cast(t).alias(c) for c, t in hearings.dtypes])
+    return upsert(cases, first, keys), hearings.unionByName(added), ledger.select(*unit).unionByName(new.select(*unit)).distinct()
+
+
+def save_details(cases: DataFrame, parties: DataFrame, details: DataFrame, found: DataFrame, keys: list[str], status: str, done: str, sidecar: str) -> tuple[DataFrame, DataFrame]:
+    """(cases, parties) after details are saved: only known cases that are not done take them, all others stay as they are.
+
+    Values that the details have replace the case's, the sidecar is merged key by key, the status becomes done, and the parties
+    of the cases that took them are replaced by those found.
+    """
+    open_ = cases.where(~F.coalesce(F.col(status) == done, F.lit(False))).select(*keys)
+    new = details.join(open_, keys, "left_semi")
+    named = new.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in details.columns if c not in keys], F.lit(True).alias("_took"))
+    joined = cases.join(named, keys, "left")
+    took = F.coalesce("_took", F.lit(False))
+    out = []
+    for c in cases.columns:
+        if c == status:
+            out.append(F.when(took, F.lit(done)).otherwise(F.col(c)).alias(c))
+        elif c == sidecar and c in details.columns:
+            out.append(F.when(took, merged(F.col(c), F.col(f"_n_{c}"))).otherwise(F.col(c)).alias(c))
+        else:
+            out.append(F.coalesce(F.col(f"_n_{c}"), F.col(c)).alias(c) if c in details.columns and c not in keys else F.col(c))
+    return joined.select(*out), replace_children(parties, found.join(new.select(*keys), keys, "left_semi"), new, keys)

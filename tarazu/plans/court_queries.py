@@ -632,7 +632,8 @@ def _defendants(cases):
 # the words of the names and of the releases without a month
 _UNDATED_SQL = f"""r AS (SELECT press_id, max(publication_date) AS dated, concat_ws(' ', max(title), CASE WHEN NOT regexp_matches(max(full_text), '^[-_ ]*$') THEN max(full_text) END) AS text FROM press_releases GROUP BY 1),
 n AS (SELECT case_key, unnest(CASE WHEN len(parts) > 0 THEN parts ELSE [{strip_sql('defendant')}] END) AS name FROM (SELECT case_key, defendant, list_filter(list_transform(string_split_regex(replace(defendant, 'समेत', ''), '[/,]'), lambda x: {strip_sql('x')}), lambda x: x <> '') AS parts FROM c WHERE defendant IS NOT NULL)),
-who AS (SELECT DISTINCT case_key, unnest(string_split({_match_sql('name')}, ' ')) AS w FROM n),
+nw AS (SELECT case_key, list_filter(string_split({_match_sql('name')}, ' '), lambda w: length(w) > 2 AND w NOT IN ({', '.join(f"'{x}'" for x in linkage.TITLE_WORDS)})) AS ws FROM n),
+who AS (SELECT DISTINCT case_key, unnest([ws[1], ws[len(ws)]]) AS w FROM nw WHERE len(ws) > 0),
 free AS (SELECT * FROM (SELECT DISTINCT press_id, unnest(string_split({_match_sql('text')}, ' ')) AS w FROM r WHERE ({month_sql('dated')}) IS NULL) WHERE length(w) > 2 AND w NOT IN ({', '.join(f"'{x}'" for x in linkage.TITLE_WORDS)}))"""
 
 

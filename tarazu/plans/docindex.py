@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarazu.functions.text import escape_html, escape_script_json, html_relpath, summary
+from tarazu.functions.jsonx import omit_empty
+from tarazu.functions.text import escape_html, escape_script_json, html_relpath, node_filename, summary
 from tarazu.operators.ranking import pages
 
 SITEMAP_URLS = 50_000
@@ -56,3 +57,30 @@ def publish_plan(local: DataFrame, remote: DataFrame, key: str, protected: list[
     for p in protected:
         safe = safe & ~F.col(key).startswith(p)
     return local.select(key).distinct().withColumn("action", F.lit("upload")).unionByName(gone.withColumn("action", F.when(safe, "delete").otherwise("keep")))
+
+
+def index_nodes(docs: DataFrame, path: str) -> DataFrame:
+    """path, content: the index file of every inner node, with the names and counts of its children in order; next is always there, null without a further page."""
+    counts = tree_counts(docs, path)
+    parent = F.array_join(F.slice(F.split("node", "/"), F.lit(1), F.col("depth") - 1), "/")
+    child = F.struct(F.element_at(F.split("node", "/"), -1).alias("name"), F.col("node").alias("path"), F.col("n_docs").alias("count"))
+    nodes = counts.select(parent.alias("of"), child.alias("c")).groupBy("of").agg(F.sort_array(F.collect_list("c")).alias("children"))
+    content = F.to_json(F.struct(F.col("of").alias("path"), F.col("children"), F.lit(None).cast("string").alias("next")), {"ignoreNullFields": "false"})
+    return nodes.select(node_filename(F.col("of")).alias("path"), content.alias("content"))
+
+
+def sitemap_index(sitemaps: DataFrame, base_url: str) -> DataFrame:
+    """path, content: the one file that lists the sitemaps (path), in order of name."""
+    loc = F.concat(F.lit(f"  <sitemap><loc>{base_url}/"), escape_html("path"), F.lit("</loc></sitemap>"))
+    body = sitemaps.select("path", loc.alias("u")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("path", "u"))), lambda x: x["u"]), "\n").alias("b"))  # a line a 50,000 documents
+    head, tail = '<?xml version="1.0" encoding="UTF-8"?>\n<sitemapindex xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">\n', "\n</sitemapindex>\n"
+    return body.select(F.lit("sitemap.xml").alias("path"), F.concat(F.lit(head), F.col("b"), F.lit(tail)).alias("content"))
+
+
+def robots(base_url: str) -> str:
+    return f"User-agent: *\nAllow: /\nSitemap: {base_url}/sitemap.xml\n"
+
+
+def sidecar_files(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """path, content: metadata/<key>.json for each row, without its empty fields; rows without a key have none."""
+    return rows.where(F.col(key).isNotNull()).select(F.concat(F.lit("metadata/"), F.col(key).cast("string"), F.lit(".json")).alias("path"), omit_empty(*columns).alias("content"))

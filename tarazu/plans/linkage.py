@@ -40,14 +40,16 @@ def candidates(cases: DataFrame, releases: DataFrame) -> DataFrame:
 
 
 def undated(names: DataFrame, releases: DataFrame) -> DataFrame:
-    """case_key, press_id, group_rank DAYS + 1: the releases without a month, for every case, dated or not, of which they hold a word of a name.
+    """case_key, press_id, group_rank DAYS + 1: the releases without a month, for every case, dated or not, of which they hold the first or the last word of a name.
+
+    A release that lacks both, or one of them in anything like its spelling, scores under LEAST, so middle names make no pairs.
 
     names: case_key, name; releases: press_id, dated, text.
     """
-    tokens = lambda c: F.explode(F.array_distinct(F.split(spelling_form(c), " "))).alias("_t")
-    is_word = (F.length("_t") > 2) & ~F.col("_t").isin(*TITLE_WORDS)
-    free = _numbered(releases.select("press_id", "dated", "text")).where(F.col("_m").isNull()).select("press_id", tokens("text")).where(is_word)
-    who = names.select("case_key", tokens("name")).distinct()
+    words = lambda c: F.filter(F.split(spelling_form(c), " "), lambda x: (F.length(x) > 2) & ~x.isin(*TITLE_WORDS))
+    free = _numbered(releases.select("press_id", "dated", "text")).where(F.col("_m").isNull()).select("press_id", F.explode(F.array_distinct(words("text"))).alias("_t"))
+    ends = F.filter(F.array(F.get("w", F.lit(0)), F.try_element_at("w", F.lit(-1))), lambda x: x.isNotNull())
+    who = names.select("case_key", words("name").alias("w")).select("case_key", F.explode(ends).alias("_t")).distinct()
     return who.join(free, "_t").select("case_key", "press_id", F.lit(DAYS + 1).alias("group_rank")).distinct()
 
 
@@ -66,7 +68,8 @@ def scored(pairs: DataFrame, names: DataFrame, releases: DataFrame) -> DataFrame
     names = names.groupBy("case_key", "name").agg(place.alias("pos"))
     read = releases.select("press_id", match_form("text").alias("_text"), F.col("text").alias("_full"), F.coalesce("title", F.lit("")).alias("_title"))
     each = pairs.join(names, "case_key").select("case_key", "press_id", "group_rank", "name", "pos")
-    distinct = each.select("name", "press_id").distinct().join(read, "press_id").select("name", "press_id", name_score()(match_form("name"), "_text", "name", "_full", "_title").alias("s"))
+    n = 2 * pairs.sparkSession.sparkContext.defaultParallelism  # few pairs of long texts: more tasks than their bytes would give
+    distinct = each.select("name", "press_id").distinct().repartition(max(n, int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "name", "press_id").join(read, "press_id").select("name", "press_id", name_score()(match_form("name"), "_text", "name", "_full", "_title").alias("s"))
     best = each.join(distinct, ["name", "press_id"]).groupBy("case_key", "press_id", "group_rank").agg(F.max_by(F.struct("s.score", "name", "s.passage"), F.struct("s.score", -F.col("pos"), "name")).alias("b"))
     told = F.coalesce(F.length(F.trim("b.passage")) >= SHORTEST, F.lit(False)) | (F.coalesce("b.passage", F.lit("")) == "")
     return best.where(told & (F.col("b.score") >= LEAST)).select("case_key", "press_id", "group_rank", "b.*")
