@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from tarazu.functions import dates, jsonx, text
 from tarazu.operators import dedupe, ranking
 from tarazu.plans import court_queries, linkage
-from tarazu.plans.court_queries import part_sql
-from tarazu.sources import html
+from tarazu.plans.court_queries import ROMAN, date_sql, part_sql, ws_sql
+from tarazu.sources import court_pages, html
 from tarazu.streaming import stateful
 
 _before = set(court_queries.QUERIES)
@@ -56,6 +56,101 @@ def html_details(t):
     return html.pivot(html.definitions(_pages(t)), "page_id", {"Court": "court_identifier"})
 
 
+# --- cause lists, details, parties and cards, on pages made of the tables in the sites' forms ---
+
+
+def _cells(*cols, tag: str = "td"):
+    """A row of cells; a Column is escaped, a null is an empty cell."""
+    one = [F.concat(F.lit(f"<{tag}>"), text.escape_html(F.coalesce(c.cast("string"), F.lit(""))) if not isinstance(c, str) else F.lit(c), F.lit(f"</{tag}>")) for c in cols]
+    return F.concat(F.lit("<tr>"), *one, F.lit("</tr>"))
+
+
+def _listed(t, row, head="<table>"):
+    """A page a court and day with the rows of its hearings in order of id."""
+    h = t("court_case_hearings").select("id", F.concat_ws("/", "court_identifier", F.coalesce("hearing_date_bs", F.lit(""))).alias("page_id"), row.alias("r"))
+    made = h.groupBy("page_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", "r"))), lambda x: x["r"]), "").alias("rows"))
+    return court_pages.elements(made.select("page_id", F.concat(F.lit(head), "rows", F.lit("</table>")).alias("html")))
+
+
+_PAGE = "court_identifier || '/' || coalesce(hearing_date_bs, '') AS page_id"
+
+
+@query(f"SELECT {_PAGE}, {ROMAN.format(ws_sql('case_number'))} AS case_number, CAST(id AS VARCHAR) AS case_id, {date_sql("coalesce(hearing_date_bs, '')")} AS registration_date_bs, 'Bench 4' AS bench, left({ws_sql('decision_type')}, 200) AS decision_type FROM court_case_hearings WHERE {ws_sql('case_number')} <> ''")
+def cause_list_district(t):
+    case = F.concat(text.escape_html("case_number"), F.lit("<br>("), F.col("id").cast("string"), F.lit(")"))
+    first, rest = _cells(F.col("serial_no")), _cells(F.col("hearing_date_bs"), F.col("bench_type"), "p", "d", "", "", F.col("remarks"), F.col("decision_type"))
+    row = F.concat(F.replace(first, F.lit("</tr>"), F.lit("<td>")), case, F.lit("</td>"), F.replace(rest, F.lit("<tr>"), F.lit("")))
+    got = court_pages.cause_list(_listed(t, row, '<table><tr><td align="right">Bench  4</td><td class="judge">x</td></tr></table><table>'), "district")
+    return got.select("page_id", "case_number", "case_id", "registration_date_bs", "bench", "decision_type")
+
+
+@query(rf"SELECT {_PAGE}, {ROMAN.format(ws_sql('serial_no'))} AS serial_no, trim(regexp_replace({ws_sql('case_number')}, '\s*\([^)]*\)\s*', '', 'g')) AS case_number, trim({ws_sql('lawyer_names')}) AS plaintiff, 'r' AS defendant, nullif({ws_sql('remarks')}, '--') AS lawyer_names, CAST(id AS VARCHAR) AS remarks FROM court_case_hearings WHERE {ws_sql('case_number')} <> ''")
+def cause_list_high(t):
+    parties = F.concat(F.regexp_replace(F.coalesce("lawyer_names", F.lit("")), r"\|\|", " "), F.lit(" || r"))
+    row = _cells(F.col("serial_no"), "d", "2080-01-01", "t", F.col("case_number"), parties, F.col("remarks"), F.col("id"), "s")
+    return court_pages.cause_list(_listed(t, row), "high").select("page_id", "serial_no", "case_number", "plaintiff", "defendant", "lawyer_names", "remarks")
+
+
+@query(f"SELECT {_PAGE}, {ws_sql('case_number')} AS case_number, {ws_sql('bench')} AS plaintiff, {ws_sql('bench_type')} AS defendant, CAST(id AS VARCHAR) AS original_case_number, {ws_sql('case_status')} AS case_status FROM court_case_hearings WHERE {ws_sql('case_number')} <> '' AND NOT contains(case_number, '(')")
+def cause_list_special(t):
+    row = _cells(F.col("serial_no"), "c", "2080-01-01", "t", F.col("case_number"), F.col("bench"), F.col("bench_type"), F.col("id"), "", F.col("case_status"), "")
+    return court_pages.cause_list(_listed(t, row), "special").select("page_id", "case_number", "plaintiff", "defendant", "original_case_number", "case_status").where(~F.contains("case_number", F.lit("(")))
+
+
+@query(rf"""
+SELECT {_PAGE}, trim(regexp_replace({ws_sql('case_number')}, '\s*\([^)]*\)\s*', '', 'g')) AS case_number, {ws_sql('bench')} AS division, CAST(id AS VARCHAR) AS plaintiff, '' AS defendant,
+nullif(array_to_string(list_filter(list_transform(string_split_regex(regexp_replace(coalesce(judge_names, ''), '(?i)<br\s*/?>', chr(10), 'g'), '\r?\n'), lambda x: {ws_sql('x')}), lambda x: x <> ''), chr(10)), '') AS judges FROM court_case_hearings WHERE {ws_sql('case_number')} <> ''
+""")
+def cause_list_supreme(t):
+    head = "<table><tr>" + "<td>h</td>" * 10 + "</tr>"
+    division = F.concat(F.lit("- "), text.normalize_whitespace("bench"), F.lit(" _"))
+    row = _cells(F.col("serial_no"), division, "2080-01-01", "b", "t", F.col("case_number"), F.col("id"), "", F.col("judge_names"), "")
+    got = court_pages.cause_list(_listed(t, row, head), "supreme")
+    return got.select("page_id", "case_number", "division", "plaintiff", "defendant", F.col("judges_must_hear").alias("judges"))
+
+
+def _case_elements(t, html):
+    key = F.concat("case_number", F.lit("@"), "court_identifier", F.lit("@"), F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss"))
+    return court_pages.elements(t("court_cases").select(key.alias("page_id"), html.alias("html")).where(F.col("page_id").isNotNull()))
+
+
+_CASE_KEY = "case_number || '@' || court_identifier || '@' || strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS page_id"
+
+
+def filled_sql(c: str, n: int) -> str:
+    return f"nullif(nullif(left({ws_sql(c)}, {n}), ''), '--')"
+
+
+@query(f"SELECT {_CASE_KEY}, {filled_sql('case_type', 200)} AS case_type, {filled_sql('case_status', 100)} AS case_status, {filled_sql('division', 100)} AS division, CASE WHEN {ws_sql('verdict_date_bs')} NOT IN ('', '**** ** **') THEN {date_sql('verdict_date_bs')} END AS verdict_date_bs, CAST(json_object('नयाँ_नाम', case_number) AS VARCHAR) AS extra FROM court_cases WHERE case_number IS NOT NULL AND court_identifier IS NOT NULL")
+def detail_pages(t):
+    """Details of a table of label and value cells, two a row."""
+    rows = F.concat(_cells("मुद्दा :", F.col("case_type"), "मुद्दाको स्थिति", F.col("case_status")), _cells("इजलास", F.col("division")), _cells("फैसला मिति", F.col("verdict_date_bs")), _cells("नयाँ  नाम", F.col("case_number")))
+    got = court_pages.details(_case_elements(t, F.concat(F.lit("<table>"), rows, F.lit("</table>"))), "supreme")
+    return got.select("page_id", "case_type", "case_status", "division", "verdict_date_bs", "extra")
+
+
+@query(f"""
+WITH n AS (SELECT case_number || '@' || court_identifier AS page_id, side, id, left({ws_sql('name')}, 500) AS name, nullif({ws_sql('address')}, '') AS address FROM court_case_entities WHERE side IN ('plaintiff', 'defendant') AND case_number IS NOT NULL AND court_identifier IS NOT NULL),
+k AS (SELECT * FROM n WHERE name <> '' AND name NOT IN ({', '.join(f"'{x}'" for x in court_pages.HEADER_CELLS)}))
+SELECT page_id, side, CAST(row_number() OVER (PARTITION BY page_id, side ORDER BY id) AS INTEGER) AS pos, name, address FROM k
+""")
+def party_pages(t):
+    e = t("court_case_entities").where(F.col("side").isin("plaintiff", "defendant")).select(F.concat("case_number", F.lit("@"), "court_identifier").alias("page_id"), "side", "id", _cells(F.col("name"), F.col("address")).alias("r")).where(F.col("page_id").isNotNull())
+    tables = e.groupBy("page_id", "side").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", "r"))), lambda x: x["r"]), "").alias("rows"))
+    head = F.when(F.col("side") == "plaintiff", "वादीको विवरण").otherwise("प्रतिवादीको विवरण")
+    table_ = F.concat(F.lit("<table><tr><th>"), head, F.lit("</th></tr>"), "rows", F.lit("</table>"))
+    pages = tables.groupBy("page_id").agg(F.array_join(F.sort_array(F.collect_list(table_)), "").alias("html"))
+    return court_pages.party_rows(court_pages.elements(pages)).select("page_id", "side", "pos", "name", "address")
+
+
+@query("SELECT CAST(charge_id AS VARCHAR) AS page_id, '081-CR-' || lpad(CAST(charge_id AS VARCHAR), 4, '0') AS case_number, trim(coalesce(title, '')) AS title, trim(coalesce(filing_date, '')) AS filing_date FROM charge_sheets WHERE charge_id < 10000")
+def charge_cards(t):
+    number = text.to_nepali_digits(F.lpad(F.col("charge_id").cast("string"), 4, "0"))
+    html = F.concat(F.lit('<div class="post--item"><ul>'), text.escape_html(F.coalesce("court_office", F.lit(""))), F.lit("||"), text.escape_html(F.coalesce("filing_date", F.lit(""))), F.lit("</ul><h3>"), text.escape_html(F.coalesce("title", F.lit(""))), F.lit('</h3><div class="post--content">०८१-CR-'), number, F.lit("</div></div>"))
+    pages = t("charge_sheets").where(F.col("charge_id") < 10000).select(F.col("charge_id").cast("string").alias("page_id"), html.alias("html"))  # numbers of the register have four digits
+    return court_pages.charge_cards(court_pages.elements(pages)).select("page_id", "case_number", "title", "filing_date")
+
+
 # --- scans ---
 
 
