@@ -659,8 +659,10 @@ def fuzzy_pairs(t):
 
 @query()
 def name_ratios(t):
-    a = t("court_case_entities").where(F.col("name").isNotNull()).select("id", "case_number", "court_identifier", "side", "name")
-    b = a.select(F.col("id").alias("other_id"), "case_number", "court_identifier", "side", F.col("name").alias("other"))
-    pairs = a.join(b, ["case_number", "court_identifier", "side"]).where("id < other_id")
+    """Each party's name against the field of its side in its case: one pair a party."""
+    keys = ["case_number", "court_identifier"]
+    one = t("court_cases").groupBy(*keys).agg(*[F.max_by(c, F.struct("updated_at", c)).alias(c) for c in ("plaintiff", "defendant")])
+    a = t("court_case_entities").where(F.col("name").isNotNull()).select("id", *keys, "side", "name")
+    pairs = a.join(one, keys).select("id", "name", F.when(F.col("side") == "plaintiff", F.col("plaintiff")).otherwise(F.col("defendant")).alias("other")).where(F.col("other").isNotNull())
     score = lambda f: F.round(f("name", "other"), 4)
-    return pairs.select("id", "other_id", score(similarity.indel_ratio()).alias("ratio"), score(similarity.token_set()).alias("token_set"), score(similarity.best_window_ratio()).alias("partial"))
+    return pairs.select("id", score(similarity.indel_ratio()).alias("ratio"), score(similarity.token_set()).alias("token_set"), score(similarity.best_window_ratio()).alias("partial"))

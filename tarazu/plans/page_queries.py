@@ -294,6 +294,28 @@ def stream_daily_counts(t):
     return _streamed(t, "daily", build, "events", "complete")
 
 
+@query("SELECT event_id, event_type FROM events GROUP BY ALL")
+def stream_distinct(t):
+    return _streamed(t, "distinct", lambda s: stateful.distinct_events(s.withColumn("at", F.col("ts").cast("timestamp")), ["event_id"], "at", "1 hour").select("event_id", "event_type"), "events", "append")
+
+
+@query("WITH k AS (SELECT user_id, count(DISTINCT length(event_type)) AS n FROM events GROUP BY 1) SELECT CAST(user_id AS VARCHAR) AS key, CAST(n AS INTEGER) AS n_parts, CAST(3 AS INTEGER) AS n_expected FROM k WHERE n >= 3")
+def stream_barrier(t):
+    """Keys with events of three kinds of length: each comes out when its parts are there."""
+    return _streamed(t, "barrier", lambda s: stateful.barrier_stream(s.select(F.col("user_id").alias("key"), F.length("event_type").alias("part"), F.lit(3).alias("total"))), "events", "append")
+
+
+@query("""
+WITH e AS (SELECT user_id, event_id, event_type = 'purchase' AS ok FROM events WHERE event_type IN ('purchase', 'error')),
+l AS (SELECT user_id, max(event_id) FILTER (WHERE ok) AS done FROM e GROUP BY 1),
+n AS (SELECT e.user_id, max(l.done) AS done, count(*) FILTER (WHERE NOT ok AND (l.done IS NULL OR event_id > l.done)) AS n FROM e JOIN l USING (user_id) GROUP BY 1)
+SELECT CAST(user_id AS VARCHAR) AS key, CASE WHEN n >= 5 THEN 'failed' WHEN n > 0 THEN 'retrying' WHEN done IS NOT NULL THEN 'done' ELSE 'open' END AS state, CAST(n AS INTEGER) AS n_retries FROM n
+""")
+def stream_retry(t):
+    tried = lambda s: s.where(F.col("event_type").isin("purchase", "error")).select(F.col("user_id").alias("key"), F.col("event_id").alias("seq"), (F.col("event_type") == "purchase").alias("success"))
+    return _streamed(t, "retry", lambda s: stateful.retry_stream(tried(s), 5), "events", "update")
+
+
 QUERIES = {k: court_queries.QUERIES[k] for k in court_queries.QUERIES if k not in _before}
 ORACLE = {k: court_queries.ORACLE[k] for k in QUERIES if k in court_queries.ORACLE}
 

@@ -26,8 +26,10 @@ def write_named(files: DataFrame, root: str) -> None:
     files.select("path", "content").foreachPartition(put)
 
 
-def write_csv(df: DataFrame, path: str, order: str) -> None:
-    df.orderBy(order).coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+def write_csv(df: DataFrame, path: str, order: str, single: bool = False) -> None:
+    """CSV files with headers; read by name, their rows are in the order. single: one file, written by one task, for small tables."""
+    rows = df.orderBy(order)
+    (rows.coalesce(1) if single else rows).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_partitioned_json(df: DataFrame, path: str, by: str) -> None:

@@ -68,7 +68,11 @@ def retry_stream(events: DataFrame, limit: int) -> DataFrame:
 
 
 def mirror_batches(stream: DataFrame, path: str, checkpoint: str, keys: list[str], order: str):
-    """Keep a table of the latest row a key: every micro-batch writes a new snapshot folder, the last one is the state."""
+    """Keep a table of the latest row a key: every micro-batch writes a new snapshot folder, the last one is the state.
+
+    The snapshot before the last stays until the next is whole, so a batch run again finds what it began from; older ones are deleted.
+    A micro-batch costs a pass over the table: choose triggers by its size.
+    """
     from tarazu.operators.dedupe import last_wins
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -77,5 +81,8 @@ def mirror_batches(stream: DataFrame, path: str, checkpoint: str, keys: list[str
         if batch_id:
             new = spark.read.schema(batch.schema).parquet(f"{path}/batch={batch_id - 1}").unionByName(batch)
         last_wins(new, keys, [F.col(order)]).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        if batch_id > 1:
+            old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch={batch_id - 2}")
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True)
