@@ -53,9 +53,11 @@ SMALL = 2 << 20  # bytes a core, below which a scan may be fewer tasks than ther
 def spread(scan: DataFrame, key: str) -> DataFrame:
     """A scan of a small table dealt out to all cores by the hash of its key; larger ones stay where they lie.
 
-    For work in Python on whole rows: a small table in one file would else be one task. The size is the planner's,
-    so nothing is run or listed for it, and the deal depends on the key alone, so a task run again gets the same rows.
+    For work in Python on whole rows: a small table in one file would else be one task. The size is that of the files
+    as the planner knows it, so nothing is run or listed for it, and the deal depends on the key alone, so a task run
+    again gets the same rows.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    leaves = scan._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     return scan.repartition(2 * cores, key) if size < SMALL * cores else scan

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import Window
@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tarazu.operators import dedupe, matching, parties, quality, ranking, statefold, upsert
 from tarazu.plans import docindex, linkage
+from tarazu.session import spread
 
 
 def rows(df, *order):
@@ -144,3 +145,37 @@ def test_undated_releases_are_candidates(spark):
     pairs = linkage.undated(names, rel)
     assert rows(pairs) == [("dated", 1, 4), ("undated", 1, 4), ("undated", 2, 4)]
     assert {r.status for r in linkage.best(linkage.scored(pairs, names, rel)).collect()} == {"matched"}
+
+
+def test_small_scans_are_dealt_out(spark, small, tmp_path):
+    df = spread(spark.read.parquet(f"{small}/court_case_hearings.parquet").select("id", "judge_names"), "id")
+    assert df.rdd.getNumPartitions() == 8 and df.count() == spark.read.parquet(f"{small}/court_case_hearings.parquet").count()
+
+
+def test_saves(spark):
+    cases = spark.createDataFrame([("a", "pending", "t", '{"k": "1"}'), ("b", "enriched", "t", None), ("c", None, None, None)], "n string, status string, kind string, extra string")
+    parties = spark.createDataFrame([("a", "old"), ("b", "kept")], "n string, name string")
+    details = spark.createDataFrame([("a", None, '{"j": "2"}'), ("b", "new", None), ("z", "new", None)], "n string, kind string, extra string")
+    got, who = upsert.save_details(cases, parties, details, spark.createDataFrame([("a", "new"), ("b", "new"), ("z", "new")], "n string, name string"), ["n"], "status", "enriched", "extra")
+    assert rows(got, "n") == [("a", "enriched", "t", '{"k":"1","j":"2"}'), ("b", "enriched", "t", None), ("c", None, None, None)]
+    assert rows(who, "n") == [("a", "new"), ("b", "kept")]
+    L = "n string, kind string, day int, court string"
+    listed = spark.createDataFrame([("a", None, 1, "x"), ("d", "first", 2, "x"), ("d", "second", 3, "x"), ("e", "k", 9, "x")], L)
+    ledger = spark.createDataFrame([("x", 9)], "court string, day int")
+    hearings = spark.createDataFrame([], "n string, day int, note string")
+    one = upsert.save_listing(cases.select("n", "kind"), hearings, ledger, listed, ["n"], ["court", "day"])
+    assert rows(one[0], "n") == [("a", "t"), ("b", "t"), ("c", None), ("d", "first")] and one[1].count() == 3 and one[2].count() == 4
+    again = upsert.save_listing(*one, listed, ["n"], ["court", "day"])
+    assert rows(again[0], "n") == rows(one[0], "n") and again[1].count() == 3
+
+
+def test_outcomes_and_watermarks(spark):
+    t = lambda d: datetime(2024, 1, d)
+    ev = spark.createDataFrame([("a", t(1), "odd"), ("a", t(2), "success"), ("b", t(1), "too_early"), ("c", t(1), "permanent"), ("d", t(5), "success"), ("d", t(6), None), *[("e", t(i), "x") for i in range(1, 6)]], "k string, at timestamp_ntz, o string")
+    got = statefold.outcome_state(ev, "k", "at", "o", F.to_timestamp_ntz(F.lit("2024-02-15 00:00:00")))
+    assert rows(got, "k") == [("a", "done", 0, False), ("b", "waiting", 0, True), ("c", "failed", 0, False), ("d", "retrying", 1, True), ("e", "failed", 5, False)]
+    n = spark.createDataFrame([("k", i) for i in (1, 2, 5, 20, 21)], "k string, n long")
+    assert rows(ranking.last_before_gap(n, ["k"], "n", 10)) == [("k", 1, 5)] and ranking.watermark(n, "n", 99).first().high == 99 and ranking.watermark(n.limit(0), "n", 7).first().high == 7
+    assert [r.n for r in ranking.keyset(n, ["k", "n"], ["k", 2], 2).collect()] == [5, 20]
+    with pytest.raises(Exception, match="unknown k"):
+        matching.lookup_or_fail(n, "k", spark.createDataFrame([("z", "v")], "id string, v string"), "id", "v").collect()
