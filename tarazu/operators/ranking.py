@@ -56,9 +56,20 @@ def islands(df: DataFrame, key: list[str], n: str) -> DataFrame:
 
 
 def carry_forward(df: DataFrame, key: list[str], order: list[str], column: str, out: str) -> DataFrame:
-    """The last value that isn't null at or before each row."""
-    w = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, F.last(column, ignorenulls=True).over(w))
+    """df with out: the last value of column that isn't null at or before each row of its key.
+
+    Rows are sorted by range and written once (cut): each range carries its own values, and takes what the ranges before it end with,
+    so a key holding most rows is many tasks. A null key is a key; nulls in the order come first.
+    """
+    placed = cut(df.repartitionByRange(*key, *order).withColumn("_b", F.spark_partition_id()))
+    own = F.last(column, ignorenulls=True).over(Window.partitionBy("_b", *key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    ends = placed.groupBy("_b", *key).agg(F.max(F.when(F.col(column).isNotNull(), F.struct(*order, F.col(column).alias("_v"))))["_v"].alias("_v"))
+    before = Window.partitionBy(*key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range that holds the key
+    taken = ends.select(F.col("_b").alias("_tb"), *[F.col(k).alias(f"_t{i}") for i, k in enumerate(key)], F.last("_v", ignorenulls=True).over(before).alias("_before"))
+    on = F.col("_b") == F.col("_tb")
+    for i, k in enumerate(key):
+        on = on & F.col(k).eqNullSafe(F.col(f"_t{i}"))
+    return placed.withColumn("_own", own).join(taken, on).select(*df.columns, F.coalesce("_own", "_before").alias(out))
 
 
 def keyset(df: DataFrame, columns: list[str], after: list, size: int) -> DataFrame:

@@ -61,6 +61,15 @@ def test_windows(spark):
     assert [r.c for r in ranking.carry_forward(c, ["k"], ["n"], "v", "c").orderBy("k", "n").collect()] == ["x", "x", "y", None]
 
 
+def test_carry_forward_of_a_hot_key(spark):
+    df = spark.range(4000).select(F.when(F.col("id") % 5 > 0, "hot").when(F.col("id") % 2 > 0, "cold").alias("k"), F.when(F.col("id") % 97 > 0, F.pmod(F.xxhash64("id"), F.lit(10**9))).alias("n"), "id", F.when(F.col("id") % 400 == 3, F.col("id")).alias("v"))
+    w = Window.partitionBy("k").orderBy("n", "id").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("id", F.last("v", ignorenulls=True).over(w).alias("want"))
+    got = ranking.carry_forward(df, ["k"], ["n", "id"], "v", "c").join(want, "id")
+    assert got.count() == 4000 and got.where(~F.col("c").eqNullSafe(F.col("want"))).count() == 0
+    assert ranking.carry_forward(df.limit(0), ["k"], ["n"], "v", "c").count() == 0
+
+
 def test_joins(spark):
     a = spark.createDataFrame([(1, "k", date(2024, 1, 1)), (2, "k", None), (3, None, date(2024, 1, 1))], "i int, k string, d date")
     b = spark.createDataFrame([(9, "k", date(2024, 1, 4)), (8, "k", date(2024, 1, 5)), (7, "k", date(2023, 12, 29))], "j int, k string, e date")
