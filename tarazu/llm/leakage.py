@@ -205,15 +205,15 @@ def _words_udf(text: pd.Series) -> pd.Series:
     return text.map(words)
 
 
-def read_items(items: DataFrame) -> DataFrame:
-    """item_id, n, ws, own: each distinct item with words, how often it stands there, its words and its specific ones."""
+def read_items(items: DataFrame) -> tuple[DataFrame, int]:
+    """(item_id, n, ws, own of each distinct item with words: how often it stands there, its words and its specific ones; bytes of all words)."""
     each = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull()).groupBy("item_id", "text").agg(F.count(F.lit(1)).alias("n"))
     each = cut(each.select("item_id", "n", _words_udf("text").alias("ws")).where(F.size("ws") > 0).withColumn("h", F.xxhash64(F.array_join("ws", " "))))
-    n_texts = each.select("h").distinct().count()
+    sums = each.agg(F.count_distinct("h").alias("texts"), F.coalesce(F.sum(F.octet_length(F.array_join("ws", " "))), F.lit(0)).alias("size")).first()
     told = each.select("item_id", "h", F.explode(F.array_distinct("ws")).alias("w"))
-    rare = told.groupBy("w").agg(F.count_distinct("h").alias("k")).where(F.col("k") <= rare_limit(n_texts)).select("w")
+    rare = told.groupBy("w").agg(F.count_distinct("h").alias("k")).where(F.col("k") <= rare_limit(sums.texts)).select("w")
     own = told.select("h", "w").distinct().join(rare, "w").groupBy("h").agg(F.collect_list("w").alias("own"))
-    return each.join(own, "h", "left").select("item_id", "n", "ws", F.coalesce("own", F.array().cast("array<string>")).alias("own"))
+    return each.join(own, "h", "left").select("item_id", "n", "ws", F.coalesce("own", F.array().cast("array<string>")).alias("own")), sums.size
 
 
 _BUILT: dict[str, Items] = {}  # the worker's index of the block at hand
@@ -235,10 +235,9 @@ def find_leaks(documents: DataFrame, items: DataFrame, threshold: float = THRESH
     tables give no row. The evaluation set is taken in as many blocks of about block_bytes as it needs.
     """
     docs = documents.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text").where(F.length("text") > 0)
-    held = cut(read_items(items))
-    size = held.agg(F.sum(F.length(F.array_join("ws", " ")) * 3).alias("b")).first().b or 0
+    held, size = read_items(items)
     n_blocks = max(1, -(-size // block_bytes))
-    blocked = held.withColumn("block", F.pmod(F.xxhash64("item_id", "ws"), F.lit(n_blocks)))
+    blocked = (cut(held) if n_blocks > 1 else held).withColumn("block", F.pmod(F.xxhash64("item_id", "ws"), F.lit(n_blocks)))
     sc = documents.sparkSession.sparkContext
     out = None
     for block in range(n_blocks):
