@@ -29,7 +29,7 @@ SAMPLE_CHARS = 20_000  # longest text taken into the sample
 BITS = 17  # log2 of the hashed features
 ORDERS = (1, 2, 3, 4, 5)  # lengths of the n-grams
 LEAST_STEPS = 2_000  # of a pass
-EPOCHS, ROUNDS = 4, 3  # passes of a fit; fits, each without the sentences the last one placed elsewhere
+EPOCHS, SIEVE_EPOCHS, ROUNDS = 4, 1, 3  # passes of the last fit, of those before it; fits, each without the sentences the last one placed elsewhere
 REGULAR = 1e-4
 SWITCH = 1.6  # cost of a change of language
 LEAST_WORDS = 4  # words of a piece that speaks for a language
@@ -125,7 +125,7 @@ def _mean_scores(codes: np.ndarray, sizes: np.ndarray, weights: np.ndarray) -> n
     return sums / np.maximum(_n_grams(sizes), 1)[:, None]
 
 
-def _fit_pair(feats: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+def _fit_pair(feats: list[np.ndarray], y: np.ndarray, epochs: int) -> np.ndarray:
     """Averaged Pegasos: hinge loss on the mean of the n-grams' weights."""
     w, total, scale, rng = np.zeros(1 << BITS), np.zeros(1 << BITS), 1.0, np.random.default_rng(7)
     steps, kept = 0, 0
@@ -133,7 +133,7 @@ def _fit_pair(feats: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     if not len(first) or not len(second):
         return total.astype(np.float32)
     n = max(2 * max(len(first), len(second)), LEAST_STEPS)  # both languages in equal shares, however rare one is
-    for _ in range(EPOCHS):
+    for _ in range(epochs):
         order = np.concatenate([rng.permutation(np.resize(rng.permutation(part), n // 2)) for part in (first, second)])
         for k in order.reshape(2, -1).T.ravel():
             steps += 1
@@ -183,11 +183,11 @@ def fit(rows: list[tuple[str, str]]) -> Model:
         grams = list(_grams(codes, sizes))
         feats = [np.concatenate([g[b : b + max(n - k + 1, 0)] for k, g in zip(ORDERS, grams)]) for b, n in zip(begins, sizes)]
         keep = np.ones(len(at), bool)
-        for _ in range(ROUNDS):
+        for turn in range(1, ROUNDS + 1):
             ws = []
             for a, b in pairs:
                 some = np.flatnonzero(keep & ((labels == a) | (labels == b)))
-                ws.append(_fit_pair([feats[k] for k in some], np.where(labels[some] == a, 1, -1)))
+                ws.append(_fit_pair([feats[k] for k in some], np.where(labels[some] == a, 1, -1), EPOCHS if turn == ROUNDS else SIEVE_EPOCHS))
             machines[fam] = np.stack(ws)
             keep = Model(machines).votes(codes, sizes, fam).argmax(1) == labels
     return Model(machines)
