@@ -654,7 +654,7 @@ def month_candidates(t):
 def fuzzy_pairs(t):
     cases, releases = _linkage_inputs(t)
     names = _defendants(cases)
-    return linkage.best(linkage.scored(linkage.all_candidates(cases, names, releases), names, releases), 5)
+    return linkage.with_passages(linkage.best_scored(cases, names, releases, 5), releases).select("case_key", "press_id", "group_rank", "score", "name", "passage", "rank", "status")
 
 
 @query()

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarazu.functions.dates import with_parts
-from tarazu.functions.similarity import LEAST, SHORTEST, name_score
+from tarazu.functions.similarity import LEAST, LONG_TEXT, SHORTEST, Names, found_passage, matched_passage, name_score
 from tarazu.functions.text import is_error_reply, match_form, spelling_form
 from tarazu.operators.ranking import top_per_key
 
@@ -24,6 +26,14 @@ def _numbered(df: DataFrame) -> DataFrame:
     return cut.withColumn("_m", month).withColumn("_d", F.col("_bs1") * 365 + F.col("_bs2") * 30 + F.col("_bs3"))
 
 
+def _words(c: Column | str) -> Column:
+    return F.filter(F.split(spelling_form(c), " "), lambda x: (F.length(x) > 2) & ~x.isin(*TITLE_WORDS))
+
+
+def _ends(words: Column | str) -> Column:
+    return F.filter(F.array(F.get(words, F.lit(0)), F.try_element_at(words, F.lit(-1))), lambda x: x.isNotNull())
+
+
 def candidates(cases: DataFrame, releases: DataFrame) -> DataFrame:
     """case_key, press_id, group_rank: 0 for the same day, 1..DAYS for days apart, DAYS + 1 for undated releases.
 
@@ -46,10 +56,8 @@ def undated(names: DataFrame, releases: DataFrame) -> DataFrame:
 
     names: case_key, name; releases: press_id, dated, text.
     """
-    words = lambda c: F.filter(F.split(spelling_form(c), " "), lambda x: (F.length(x) > 2) & ~x.isin(*TITLE_WORDS))
-    free = _numbered(releases.select("press_id", "dated", "text")).where(F.col("_m").isNull()).select("press_id", F.explode(F.array_distinct(words("text"))).alias("_t"))
-    ends = F.filter(F.array(F.get("w", F.lit(0)), F.try_element_at("w", F.lit(-1))), lambda x: x.isNotNull())
-    who = names.select("case_key", words("name").alias("w")).select("case_key", F.explode(ends).alias("_t")).distinct()
+    free = _numbered(releases.select("press_id", "dated", "text")).where(F.col("_m").isNull()).select("press_id", F.explode(F.array_distinct(_words("text"))).alias("_t"))
+    who = names.select("case_key", _words("name").alias("w")).select("case_key", F.explode(_ends("w")).alias("_t")).distinct()
     return who.join(free, "_t").select("case_key", "press_id", F.lit(DAYS + 1).alias("group_rank")).distinct()
 
 
@@ -75,6 +83,121 @@ def scored(pairs: DataFrame, names: DataFrame, releases: DataFrame) -> DataFrame
     return best.where(told & (F.col("b.score") >= LEAST)).select("case_key", "press_id", "group_rank", "b.*")
 
 
+def _name_order(name: pd.Series) -> pd.Series:
+    """Numbers in the order of the names' code points."""
+    return name.map({x: i for i, x in enumerate(sorted(name.unique()))})
+
+
+def _search(k: int):
+    """The k best releases of each case in one group: a month of releases with the cases around it, or all undated releases with a block of cases."""
+
+    def run(key: tuple, who: pd.DataFrame, rel: pd.DataFrame) -> pd.DataFrame:
+        columns = ["case_key", "press_id", "group_rank", "score", "name"]
+        if who.empty or rel.empty:
+            return pd.DataFrame({c: [] for c in columns}, dtype=object)
+        undated = bool(key[0])
+        number, one = pd.factorize(who["name"])
+        forms = who["form"].fillna("").to_numpy()[np.unique(number, return_index=True)[1]]
+        names = Names(list(forms), list(one))
+        case, _ = pd.factorize(who["case_key"])
+        of_name = np.argsort(number, kind="stable")
+        starts = np.searchsorted(number[of_name], np.arange(len(one) + 1))
+        day = who["d"].to_numpy(dtype=float)  # nan where there is none
+        holders: dict[str, set[int]] = {}
+        rows_of: dict[int, list[int]] = {}
+        if undated:
+            for i, (c, ends) in enumerate(zip(case.tolist(), who["ends"])):
+                rows_of.setdefault(c, []).append(i)
+                for w in ends:
+                    holders.setdefault(w, set()).add(c)
+        known: dict[str, tuple[np.ndarray, np.ndarray]] = {}  # the scores of a text that comes again; -1 where not asked
+        again = set(rel["text"][rel["text"].duplicated()])
+        got = []
+        for at, r in enumerate(rel.itertuples(index=False)):
+            if undated:
+                cases = set().union(*(holders.get(w, ()) for w in r.words))
+                rows = np.array(sorted(i for c in cases for i in rows_of[c]), dtype=np.int64)
+                rank = np.full(len(who), DAYS + 1)
+            else:
+                gap = np.abs(day - (np.nan if r.d is None else r.d))
+                rows = np.flatnonzero(~(gap > DAYS))
+                rank = np.where(np.isnan(gap), DAYS + 1, gap)
+            if not len(rows):
+                continue
+            which = np.unique(number[rows])
+            if r.text in again:
+                score, asked = known.setdefault(r.text, (np.zeros(len(one)), np.zeros(len(one), dtype=bool)))
+                new = which[~asked[which]]
+                hit, found = names.scores(new, r.text)
+                score[hit], asked[new] = found, True
+                hit = which[score[which] >= LEAST]
+                found = score[hit]
+            else:
+                hit, found = names.scores(which, r.text)
+            if not len(hit):
+                continue
+            best = np.zeros(len(one))
+            best[hit] = found
+            rows = rows[best[number[rows]] > 0]
+            got.append(pd.DataFrame({"row": rows, "at": at, "score": best[number[rows]], "group_rank": rank[rows].astype(int)}))
+        if not got:
+            return pd.DataFrame({c: [] for c in columns}, dtype=object)
+        got = pd.concat(got, ignore_index=True)
+        got["case"], got["pos"], got["order"] = case[got["row"]], who["pos"].to_numpy()[got["row"]], _name_order(who["name"]).to_numpy()[got["row"]]
+        got = got.sort_values(["score", "pos", "order"], ascending=[False, True, False], kind="stable").drop_duplicates(["case", "at"])
+        told = rel["told"].to_numpy(dtype=object)
+        full = rel["full"].to_numpy(dtype=object)
+        unsure = np.array([x is None for x in told])
+        keep = np.array([True if unsure[a] else bool(told[a]) for a in got["at"]], dtype=bool)
+        for i in np.flatnonzero(unsure[got["at"].to_numpy()]):
+            passage = matched_passage(who["name"].iat[got["row"].iat[i]], full[got["at"].iat[i]] or "", "", True)
+            keep[i] = passage == "" or len(passage.strip(" ")) >= SHORTEST
+        got = got[keep]
+        got["press_id"] = rel["press_id"].to_numpy()[got["at"]]
+        got = got.sort_values(["case", "score", "group_rank", "press_id"], ascending=[True, False, True, True], kind="stable").groupby("case", sort=False).head(k)
+        return pd.DataFrame({"case_key": who["case_key"].to_numpy()[got["row"]], "press_id": got["press_id"].to_numpy(), "group_rank": got["group_rank"].to_numpy(), "score": got["score"].to_numpy(), "name": who["name"].to_numpy()[got["row"]]}, columns=columns)
+
+    return run
+
+
+def best_scored(cases: DataFrame, names: DataFrame, releases: DataFrame, k: int = 1) -> DataFrame:
+    """best(scored(all_candidates(cases, names, releases), names, releases), k) without the passages, for many releases a month.
+
+    The pairs grow with the square of the tables, so none is a row: a group of cases meets a group of releases in one task, each text
+    is searched for all its names at once, and only the k best of a case leave it. Groups are the months of the releases with the cases
+    of three months, and the undated releases with each block of the cases.
+    """
+    spark = cases.sparkSession
+    blocks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    place = F.min("pos") if "pos" in names.columns else F.lit(0)
+    said = names.where(F.col("case_key").isNotNull() & F.col("name").isNotNull()).groupBy("case_key", "name").agg(place.cast("long").alias("pos"))
+    said = said.select("case_key", "name", "pos", match_form("name").alias("form"))
+    day = F.col("_d").cast("long").alias("d")
+    near = _numbered(cases.select("case_key", "dated")).where(F.col("_m").isNotNull()).select("case_key", day, F.explode(F.array(F.col("_m") - 1, F.col("_m"), F.col("_m") + 1).cast("array<long>")).alias("b"))
+    dated = said.join(near, "case_key").select(F.lit(False).alias("free"), "b", "case_key", "name", "pos", "form", "d", F.array().cast("array<string>").alias("ends"))
+    every = said.select(F.lit(True).alias("free"), F.pmod(F.xxhash64("case_key"), F.lit(blocks)).cast("long").alias("b"), "case_key", "name", "pos", "form", F.lit(None).cast("long").alias("d"), _ends(_words("name")).alias("ends"))
+    text, full, title = match_form("text"), F.coalesce("text", F.lit("")), F.coalesce("title", F.lit(""))
+    # a window of 50 letters or more has a passage of SHORTEST, unless there is much white space
+    odd = (F.length(full) < 50) | full.rlike(r"[\s\p{Z}\x{85}\x{1c}-\x{1f}]{15}")
+    told = F.when(F.length("text") <= LONG_TEXT, (F.length(F.trim("title")) >= SHORTEST) | (F.col("title") == "")).when(~F.col("odd"), True)
+    read = _numbered(releases.where(F.col("press_id").isNotNull()).select("press_id", "dated", text.alias("form"), full.alias("full"), title.alias("title"), odd.alias("odd"), "text"))
+    read = read.select("press_id", "_m", day, F.col("form").alias("text"), F.when(F.col("odd"), F.col("full")).alias("full"), "title", "odd", F.when(F.col("_m").isNull(), F.array_distinct(_words("text"))).alias("words"))
+    read = read.select("press_id", "_m", "d", "text", "full", told.alias("told"), F.coalesce("words", F.array().cast("array<string>")).alias("words"))
+    of_month = read.where(F.col("_m").isNotNull()).select(F.lit(False).alias("free"), F.col("_m").cast("long").alias("b"), "press_id", "d", "text", "full", "told", "words")
+    free = read.where(F.col("_m").isNull()).select(F.lit(True).alias("free"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")).alias("b"), "press_id", "d", "text", "full", "told", "words")
+    side = lambda a, b: a.unionByName(b).repartition(2 * blocks, "free", "b").groupBy("free", "b")  # noqa: E731  # small rows, long work: more tasks than their bytes would give
+    found = side(dated, every).cogroup(side(of_month, free)).applyInPandas(_search(k), "case_key string, press_id long, group_rank int, score double, name string")
+    return best(found, k)
+
+
+def with_passages(found: DataFrame, releases: DataFrame) -> DataFrame:
+    """found (case_key, press_id, name, ...) with the passage of each release that names the name."""
+    read = releases.select("press_id", F.length(match_form("text")).alias("_n"), F.col("text").alias("_full"), F.coalesce("title", F.lit("")).alias("_title"))
+    n = 2 * found.sparkSession.sparkContext.defaultParallelism  # as in scored()
+    spread = found.repartition(max(n, int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "press_id")
+    return spread.join(read, "press_id").withColumn("passage", found_passage()("name", "_full", "_title", F.col("_n") > LONG_TEXT)).drop("_n", "_full", "_title")
+
+
 def signals() -> Column:
     """What speaks for a scored pair, as strings."""
     said = F.array(F.format_string("defendant_name_similarity(%.2f)", "score"), F.concat(F.lit("matched_defendant:"), "name"), F.when(F.col("passage") != "", F.concat(F.lit("pr_matched_text:"), "passage")))

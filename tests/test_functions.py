@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,3 +70,17 @@ def test_similarity():
     long = "x" * 120
     assert similarity.name_in_text("ramesh thapa", long + " ramesh thapa", "Ramesh Thapa") == pytest.approx(1.0)
     assert similarity.name_in_text("ramesh thapa", long + " kkkkk thapa", "Ramesh Thapa") < 0.5
+
+
+def test_many_words_at_once_as_one_by_one():
+    words = ["", "a", "ab", "bca", "ccc", "abcab" * 3, "ab c" * 4, "bc" * 16, "c ab" * 9, "abc" * 21 + "a", "abc" * 30]
+    x = similarity.Searched(words)
+    for text in ("b", "xyz" * 40, "ab c abba cab" * 9, "bcé" * 36 + "abc"):
+        got = x.best_ratios(np.arange(len(words)), text, x.encoded(text))
+        assert got.tolist() == [similarity.partial_ratio(w, text) for w in words]
+    said = ["Ram Thapa", "Hari Lal Karki", "Sitaramdevi", "Ram", "Al Bo", "Ram Thapa " * 9]
+    names = similarity.Names([s.lower().strip() for s in said], said)
+    for text in ("ram thapa", "ram karki lal hari", "of ram thepa " * 9, "the karki of hari " * 9, "sitaramdevi " * 9, ""):
+        which, scores = names.scores(np.arange(len(said)), text)
+        want = [similarity.name_in_text(s.lower().strip(), text, s) for s in said]
+        assert dict(zip(which.tolist(), scores.tolist())) == {i: v for i, v in enumerate(want) if v >= similarity.LEAST}

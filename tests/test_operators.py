@@ -127,6 +127,23 @@ def test_linkage(spark):
     assert scores.select(linkage.signals().alias("s")).first().s[:2] == ["defendant_name_similarity(1.00)", "matched_defendant:राम लाल थापा"]
 
 
+def test_best_scored_is_the_best_of_all_pairs(spark):
+    w = ["राम", "लाल", "थापा", "हरि", "कार्की", "सीता", "देवी", "गुरुङ"]
+    said = [" ".join(w[(i * k + i) % 8] for k in range(1, 2 + i % 3)) for i in range(24)] + ["राम " * 30 + "थापा", "Ram Thapa", "क", "हरिराम प्रसाद"]
+    cases = spark.createDataFrame([(f"c{i}", d) for i, d in enumerate(["2080-05-10", "2080-05-12", "2080-05", "2080-06-01", None, "x", "2081-01-01"])], "case_key string, dated string")
+    names = spark.createDataFrame([(f"c{i % 8}", i, n) for i, n in enumerate(said)] + [("c0", 99, None), (None, 1, "राम लाल")], "case_key string, pos int, name string")
+    days = ["2080-05-10", "2080-05-11", "2080-05-13", "2080-05", "2080-04-30", None, "junk", "2080"]
+    texts = [" ".join(w[(i * 3 + k * k) % 8] for k in range(4 + 9 * (i % 4))) + (" " * 60 + "." if i % 7 == 0 else "") for i in range(40)] + ["", None]
+    rel = spark.createDataFrame([(i, days[i % 8], t, None if i % 5 == 0 else "राम लाल थापा विरुद्ध मुद्दा") for i, t in enumerate(texts)] + [(None, "2080-05-10", texts[3], "t")], "press_id long, dated string, text string, title string")
+    want = linkage.best(linkage.scored(linkage.all_candidates(cases, names, rel), names, rel), 3)
+    got = linkage.best_scored(cases, names, rel, 3)
+    assert rows(got, *sorted(got.columns)) == rows(want.drop("passage"), *sorted(got.columns)) and want.count() > 10
+    full = linkage.with_passages(got, rel)
+    assert rows(full.select(*want.columns)) == rows(want)
+    assert "CoGroup" in got._jdf.queryExecution().optimizedPlan().toString()  # pairs are made in the tasks, not as rows
+    assert linkage.best_scored(cases, names, rel.limit(0), 3).count() == 0
+
+
 def test_verdicts(spark):
     S = "case_key string, press_id long, group_rank int, score double, name string, passage string"
     scores = spark.createDataFrame([("a", 1, 0, 0.9, "n", "p"), ("a", 2, 0, 0.8, "n", "p"), ("a", 3, 1, 0.8, "n", "p"), ("b", 4, 1, 0.7, "n", "p"), ("c", 5, 1, 0.7, "n", "p"), ("d", 6, 1, 0.7, "n", ""), ("e", 7, 4, 0.89, "n", "p"), ("g", 8, 0, 0.6, "n", "p")], S)
