@@ -266,7 +266,7 @@ def nested_records(t):
     """JSON of each special case with parties, releases and sheets."""
     cases, releases = court_queries._linkage_inputs(t)
     names = court_queries._defendants(cases)
-    found = linkage.best(linkage.scored(linkage.all_candidates(cases, names, releases), names, releases))
+    found = linkage.best_scored(cases, names, releases)
     sheets = t("charge_sheets").select(F.col("case_number").alias("case_key"), "charge_id", "title")
     who = t("court_case_entities").where(F.col("court_identifier") == "special").select(F.col("case_number").alias("case_key"), "side", "name")
     full = linkage.nested(cases, found, sheets, who)

@@ -205,3 +205,10 @@ def test_outcomes_and_watermarks(spark):
     assert [r.n for r in ranking.keyset(n, ["k", "n"], ["k", 2], 2).collect()] == [5, 20]
     with pytest.raises(Exception, match="unknown k"):
         matching.lookup_or_fail(n, "k", spark.createDataFrame([("z", "v")], "id string, v string"), "id", "v").collect()
+
+
+def test_nested_records_make_no_rows_of_pairs(spark, small):
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["nested_records"](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "CoGroup" in plan and "passage" not in plan
