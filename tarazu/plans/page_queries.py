@@ -15,6 +15,7 @@ from tarazu.functions import dates, jsonx, text
 from tarazu.operators import dedupe, ranking
 from tarazu.plans import court_queries, linkage
 from tarazu.plans.court_queries import ROMAN, date_sql, part_sql, ws_sql
+from tarazu.session import ensure_checkpoint_dir
 from tarazu.sources import court_pages, html
 from tarazu.streaming import stateful
 
@@ -274,15 +275,29 @@ def nested_records(t):
 
 
 def _streamed(t, name: str, build, schema_of: str, mode: str) -> DataFrame:
-    """The result of a stream over a table's files, run to its end and written to the session's memory."""
+    """The result of a stream over a table's files, run to its end.
+
+    What is appended may be as large as the table: it is written as files to the checkpoint folder, which go with the session.
+    Other modes hold a row a key, in the session's memory.
+    """
     df = t(schema_of)
     spark = df.sparkSession
     folder, _, inner = df.inputFiles()[0].rpartition(f"/{schema_of}.parquet")
     path, glob = (f"{folder}/{schema_of}.parquet", "*.parquet") if inner else (folder, f"{schema_of}.parquet")  # a folder of files, or one file
     view = f"{name}_{uuid.uuid4().hex}"
-    q = build(stateful.read_files(spark, path, df.schema, 1000, glob)).writeStream.format("memory").queryName(view).outputMode(mode).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(view)
+    stream = build(stateful.read_files(spark, path, df.schema, 1000, glob))
+    q = stream.writeStream.queryName(view).outputMode(mode).trigger(availableNow=True)
+    if mode != "append":
+        q.format("memory").start().awaitTermination()
+        return spark.table(view)
+    ensure_checkpoint_dir(spark)
+    out = f"{spark.sparkContext.getCheckpointDir()}/{view}"
+    q.format("parquet").option("checkpointLocation", f"{out}/progress").start(f"{out}/rows").awaitTermination()
+    root = spark._jvm.org.apache.hadoop.fs.Path(out)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{out}/progress"), True)
+    files.deleteOnExit(root)
+    return spark.read.schema(stream.schema).parquet(f"{out}/rows")
 
 
 @query("SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2")

@@ -49,3 +49,11 @@ def test_mirror(spark, tmp_path):
     q.awaitTermination(120)
     last = max(int(p.name.split("=")[1]) for p in (tmp_path / "out").iterdir())
     assert {r.k: r.n for r in spark.read.parquet(str(tmp_path / f"out/batch={last}")).collect()} == {1: 2, 2: 1}
+
+
+def test_what_is_appended_is_not_held_by_the_driver(spark, small):
+    from tarazu.plans import page_queries
+
+    got = page_queries.QUERIES["stream_distinct"](spark, small)
+    assert got.inputFiles() and got.count() == spark.read.parquet(f"{small}/events.parquet").count()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("distinct_")]
